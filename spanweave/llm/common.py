@@ -19,6 +19,8 @@ _LOW = np.arange(256, dtype=np.uint8)
 _LOW[65:91] += 32
 _GAP = np.zeros(256, dtype=bool)
 _GAP[[32, *range(9, 14)]] = True
+_MARK = np.ones(256, dtype=bool)
+_MARK[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _RNG = np.random.Generator(np.random.PCG64(20240611))
 _BYTE = _RNG.integers(0, 2**64, 256, dtype=np.uint64, endpoint=False) | np.uint64(1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -66,11 +68,11 @@ def pieces(offs: np.ndarray, size: int = 1 << 20):
         lo = min(hi, n)
 
 
-def word_spans(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(buf: np.ndarray, offs: np.ndarray, gap: np.ndarray = _GAP) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Lower-cased bytes, starts, ends and per-row word counts; offs starts at 0 of buf."""
     low = _LOW[buf]
     tok = np.zeros(len(buf) + 1, bool)
-    np.logical_not(_GAP[buf], out=tok[:-1])
+    np.logical_not(gap[buf], out=tok[:-1])
     edge = np.zeros(len(buf) + 1, bool)
     edge[offs] = True
     start = tok.copy()
@@ -81,6 +83,11 @@ def word_spans(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return low, starts, ends, np.diff(np.searchsorted(starts, offs))
 
 
+def term_spans(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As word_spans, for runs of ASCII letters, digits and all bytes beyond ASCII."""
+    return word_spans(buf, offs, _MARK)
+
+
 def span_hash(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of byte spans, equal for equal bytes."""
     p, inv = _powers(len(low) + 1)
@@ -152,22 +159,19 @@ def fields(spec: str) -> T.StructType:
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(id, component): the least id that each linked id reaches, from edges (a, b) of longs.
 
-    Alternates large and small stars on written edge tables until no edge changes. A hub's edges are
-    reduced by a map-side minimum and joined back, never gathered, so a large component needs no task
-    of its own. Self links and repeated edges are harmless; ids without links are not returned. No
-    edges: no rows.
+    Alternates large and small stars on written edge tables until the edges are stars around their least
+    ids. A hub's edges are reduced by a map-side minimum and joined back, never gathered, so a large
+    component needs no task of its own. Self links and repeated edges are harmless; ids without links are
+    not returned. No edges: no rows.
     """
     e = kept(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    before = None
     for _ in range(rounds):
-        now = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if now == before or not now["n"]:
-            break
-        before = now
-        both = e.union(e.select(F.col("v"), F.col("u"))).toDF("u", "v")
+        both = e.union(e.select("v", "u")).toDF("u", "v")
         least = kept(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = kept(large.where("u <> v").distinct(), "large")
+        near = kept(both.join(least, "u"), "near")
+        if near.where("(v < u and m <> v) or (v > u and m <> u)").isEmpty():
+            break
+        large = near.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = kept(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low)
         e = kept(small.where("u <> v").distinct(), "edges")

@@ -15,16 +15,19 @@ FIRST = _RNG.permutation(SPACE).astype(np.int64)
 SECOND = _RNG.permutation(SPACE).astype(np.uint32)
 
 
-def circulant(shingles: np.ndarray, coords: int) -> np.ndarray:
+def rows_of(coords: int) -> np.ndarray:
+    """For each place of SECOND, the `coords` values from there on, circularly, as a view."""
+    return np.lib.stride_tricks.sliding_window_view(np.concatenate([SECOND, SECOND[:coords]]), coords)
+
+
+def circulant(shingles: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Signature of a set of 64-bit shingle hashes: coordinate k is the least SECOND[(FIRST[x] + k) mod SPACE].
 
     Two permutations give all coordinates: FIRST breaks up the layout, and SECOND is shifted circularly,
     once for each coordinate, so that the coordinates of one element lie side by side in memory.
     """
-    ring = np.concatenate([SECOND, SECOND[:coords]])
-    rows = np.lib.stride_tricks.sliding_window_view(ring, coords)
     at = FIRST[(shingles & np.uint64(SPACE - 1)).astype(np.int64)]
-    out = np.full(coords, 0xFFFFFFFF, np.uint32)
+    out = np.full(rows.shape[1], 0xFFFFFFFF, np.uint32)
     for i in range(0, len(at), 256):
         np.minimum(out, rows[at[i : i + 256]].min(axis=0), out=out)
     return out
@@ -36,8 +39,7 @@ def shingle_set(words: np.ndarray, width: int) -> np.ndarray:
 
 def _signer(width: int, bands: int, rows: int):
     def run(batches):
-        ring = np.concatenate([SECOND, SECOND[: bands * rows]])
-        view = np.lib.stride_tricks.sliding_window_view(ring, bands * rows)
+        view = rows_of(bands * rows)
         weight = mix(np.arange(1, rows + 1, dtype=np.uint64)) | np.uint64(1)
         seen: dict[tuple, list] = {}
         for b in batches:
@@ -46,10 +48,7 @@ def _signer(width: int, bands: int, rows: int):
                 s = shingle_set(words, width)
                 x = (int(s.sum()), int(np.bitwise_xor.reduce(mix(s + np.uint64(len(s)))))) if len(s) else (0, 0)
                 if len(s) and (x, len(s)) not in seen:
-                    at = FIRST[(s & np.uint64(SPACE - 1)).astype(np.int64)]
-                    sig = np.full(bands * rows, 0xFFFFFFFF, np.uint32)
-                    for i in range(0, len(at), 256):
-                        np.minimum(sig, view[at[i : i + 256]].min(axis=0), out=sig)
+                    sig = circulant(s, view)
                     band = mix((sig.reshape(bands, rows).astype(np.uint64) * weight).sum(axis=1) + np.arange(bands, dtype=np.uint64) * weight[0])
                     if len(seen) > 20_000:
                         seen.clear()
@@ -97,7 +96,7 @@ def _verifier(percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, bands: int = 48, rows: int = 8) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, bands: int = 48, rows: int = 8, rare: int = 32) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: documents linked where 100 * shared >= percent * union of shingles.
 
     Equal shingle sets first become one class each. Class representatives get a circulant signature of
@@ -130,38 +129,59 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = kept(member.where(f"100 * most >= {percent} * n"), "able")
     head = kept(member.groupBy("key").agg(F.max(F.struct((F.col("most") / F.col("n")).alias("r"), (-F.col("b")).alias("i"))).alias("h"), F.count("*").alias("c")).where("c > 1").select("key", (-F.col("h.i")).alias("a")), "heads")
     star = member.join(head, "key").where("a <> b").select("a", "b").distinct()
-    links = kept(_verify(star, sets, percent), "links")
-    comp = kept(components(links), "components")
-    for turn in range(40):
+    comp = kept(components(_verify(star, sets, percent)), "components")
+    for turn in range(2):
         at = member.join(comp.withColumnRenamed("id", "b"), "b", "left").select("key", "b", "n", "most", F.coalesce("component", "b").alias("g"))
-        mixed = kept(at.groupBy("key").agg(F.min("g").alias("g1"), F.max("g").alias("g2"), F.min("n").alias("least")).where("g1 < g2").select("key", "least"), "mixed")
-        # |y| <= most * (1 + 100 / percent) - |x| for any partner y of x
-        rest = at.join(mixed, "key").where(f"least * {percent} <= most * {100 + percent} - n * {percent}").drop("least")
-        rest = kept(rest, "rest")
-        again = rest.groupBy("key").agg(F.min("g").alias("g1"), F.max("g").alias("g2")).where("g1 < g2")
-        if again.isEmpty():
+        rest = _unsettled(kept(at, "at"), percent)
+        if rest.isEmpty():
             break
-        if turn < 2:  # another centre in what is left, before pairs across components
-            seed = F.xxhash64("b", F.lit(turn))
-            best = kept(rest.groupBy("key").agg(F.min(F.struct(seed.alias("s"), F.col("b").alias("a"), F.col("g").alias("ga"))).alias("h"), F.min("g").alias("g1"), F.max("g").alias("g2")).where("g1 < g2").select("key", "h.a", "h.ga"), "heads")
+        if turn == 0:  # another centre in what is left, before pairs across components
+            best = kept(rest.groupBy("key").agg(F.min(F.struct(F.xxhash64("b").alias("s"), F.col("b").alias("a"), F.col("g").alias("ga"))).alias("h")).select("key", "h.a", "h.ga"), "heads")
             pairs = rest.join(best, "key").where("g <> ga").select("a", "b").distinct()
         else:
-            x = rest.select("key", F.col("b").alias("a"), F.col("n").alias("na"), F.col("most").alias("ma"), F.col("g").alias("ga"))
-            fits = f"ga < g and 100 * least(most, ma) * 1L >= {percent} * (n + na - least(most, ma))"
-            pairs = rest.join(x, "key").where(fits).select("a", "b").distinct()
-        more = kept(_verify(pairs, sets, percent), "links")
-        links = links.union(more)
-        comp = kept(components(links), "components")
-        if turn >= 2:
-            break
+            pairs = _across(rest, sets, percent, rare)
+        more = _verify(pairs, sets, percent)
+        comp = kept(components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more)), "components")
     one = sig.join(classes, print_of, "left").join(comp.withColumnRenamed("id", "rep"), "rep", "left")
     cid = F.coalesce("component", "rep", "doc_id")
     return one.select("doc_id", "n_shingles", cid.alias("component_id"), (F.col("doc_id") == cid).alias("kept"))
 
 
+def _unsettled(at: DataFrame, percent: int) -> DataFrame:
+    """Members of buckets that hold several components, but for those too far from all bucket mates.
+
+    |y| <= most * (1 + 100 / percent) - |x| holds for any partner y of x.
+    """
+    mixed = kept(at.groupBy("key").agg(F.min("g").alias("g1"), F.max("g").alias("g2"), F.min("n").alias("least")).where("g1 < g2").select("key", "least"), "mixed")
+    rest = kept(at.join(mixed, "key").where(f"least * {percent} <= most * {100 + percent} - n * {percent}").drop("least"), "rest")
+    still = kept(rest.groupBy("key").agg(F.min("g").alias("g1"), F.max("g").alias("g2")).where("g1 < g2").select("key"), "still")
+    return kept(rest.join(still, "key"), "rest")
+
+
+def _across(rest: DataFrame, sets: DataFrame, percent: int, rare: int) -> DataFrame:
+    """Pairs (a, b) of different components that can still link, as each of them must do one of two things.
+
+    They share a shingle that at most `rare` of these documents have: found by that shingle, at most
+    rare^2 / 2 pairs for each. Or all they share are common shingles, so that their numbers of common
+    shingles bound the overlap: found among bucket mates whose bound reaches the percentage.
+    """
+    ids = rest.select(F.col("b").alias("doc_id"), "g").distinct()
+    items = kept(sets.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_lister, "doc_id long, item long"), "items")
+    counts = kept(items.groupBy("item").agg(F.count("*").alias("c")).where("c > 1"), "counts")
+    found = kept(items.join(counts, "item").join(ids, "doc_id"), "found")
+    common = found.where(F.col("c") > rare).groupBy(F.col("doc_id").alias("b")).agg(F.count("*").alias("most"))
+    few = found.where(F.col("c") <= rare).select("item", "doc_id", "g")
+    other = few.select("item", F.col("doc_id").alias("a"), F.col("g").alias("ga"))
+    by_rare = few.join(other, "item").where("ga < g").select("a", F.col("doc_id").alias("b"))
+    left = _unsettled(kept(rest.drop("most").join(common, "b").select("key", "b", "n", "most", "g"), "at"), percent)
+    x = left.select("key", F.col("b").alias("a"), F.col("n").alias("na"), F.col("most").alias("ma"), F.col("g").alias("ga"))
+    fits = f"ga < g and 100 * least(most, ma) >= {percent} * (n + na - least(most, ma))"
+    return left.join(x, "key").where(fits).select("a", "b").union(by_rare).distinct()
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the percentage; a hub's pairs are split by the skewed join."""
     pairs = kept(pairs, "pairs")
     y = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y")), "b")
-    both = kept(y, "right").join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x")), "a")
+    both = y.join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x")), "a")
     return both.select("a", "b", "x", "y").mapInArrow(_verifier(percent), "a long, b long")

@@ -6,18 +6,54 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import bpe_encoded
+from .lattice import lattice_scores
+from .media import audio_digest
 from .minhash import near_duplicates
+from .packing import packed_sequences
+from .toxicity import toxicity_scores
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audio_digest(_table(spark, sf_dir, "documents"))
+
+
+def op2_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_scores(_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_encoded(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), digest=True)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_sequences(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_media": op1_media,
+    "op2_lattice": op2_lattice,
     "op4_minhash": op4_minhash,
+    "op7_bpe": op7_bpe,
+    "op8_toxicity": op8_toxicity,
+    "op10_packing": op10_packing,
 }
 ORACLE: dict[str, str] = {}
