@@ -13,7 +13,7 @@ from .common import _BYTE, _powers, checked, kept, mix, packed, pieces, span_has
 BLOCK_BYTES = 12 << 20
 
 
-def vocabulary(path: str) -> tuple[list[bytes], np.ndarray]:
+def vocabulary(path: str) -> tuple[list[bytes], np.ndarray, float]:
     """Pieces as bytes (a word's start is a blank) and log weights from the vocabulary's own scores.
 
     Scores of this kind fall by one from piece to piece, so a score s weighs as 1 / (3 - s). Pieces that no
@@ -22,7 +22,7 @@ def vocabulary(path: str) -> tuple[list[bytes], np.ndarray]:
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
-    best: dict[bytes, float] = {bytes([b]): 1e-6 for b in range(256)}
+    best: dict[bytes, float] = {bytes([b]): 1e-6 for b in range(256)} | {b" ": 1e-3}
     for i in range(sp.get_piece_size()):
         if sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i):
             continue
@@ -30,8 +30,14 @@ def vocabulary(path: str) -> tuple[list[bytes], np.ndarray]:
         if b" " not in p[1:] and not any(65 <= c <= 90 for c in p):
             best[p] = max(best.get(p, 0), w)
     names = sorted(best)
-    w = np.array([best[p] for p in names])
-    return names, np.log(w / w.sum() / 1.05)
+    return names, *normal(names, np.array([best[p] for p in names]), sum(best.values()) / 4)
+
+
+def normal(names: list[bytes], w: np.ndarray, stops: float) -> tuple[np.ndarray, float]:
+    """Log probabilities of the pieces that begin a word, among themselves, and of the others and a word's stop."""
+    head = np.array([p.startswith(b" ") for p in names])
+    rest = w[~head].sum() + stops
+    return np.log(w / np.where(head, w[head].sum(), rest)), float(np.log(stops / rest))
 
 
 class Lattice:
@@ -114,32 +120,41 @@ class Lattice:
         return total[:-1]
 
 
+def _groups_of(names: list[str]):
+    """Each row's place in names, or the place after them."""
+    return F.coalesce(F.array_position(F.array(*[F.lit(x) for x in names]), F.col("group")).cast("int"), F.lit(0)) if names else F.lit(0)
+
+
 def _blocks(batches):
     part, size = TaskContext.get().partitionId(), 0
     for b in batches:
         _, offs = packed(b["text"])
         block = (np.int64(part) << 32) + (size + offs[:-1] - offs[0]) // BLOCK_BYTES
         size += int(offs[-1] - offs[0])
-        yield pa.RecordBatch.from_arrays([pa.array(block), b["doc_id"], b["held_out"], b["text"].fill_null("")], ["block", "doc_id", "held_out", "text"])
+        yield pa.RecordBatch.from_arrays([pa.array(block), b["doc_id"], b["held_out"], b["group"], b["text"].fill_null("")], ["block", "doc_id", "held_out", "group", "text"])
 
 
 def _block_words(batches):
     for b in batches:
         buf, offs = packed(b["text"])
-        blocks, train = b["block"].to_numpy(), ~b["held_out"].to_numpy(zero_copy_only=False)
-        seen: dict[tuple[int, bytes], int] = {}
+        blocks, group = b["block"].to_numpy(), np.where(b["held_out"].to_numpy(zero_copy_only=False), -1, b["group"].to_numpy())
+        seen: dict[tuple[int, int, bytes], int] = {}
         for lo, hi in pieces(offs, 4 << 20):
             for a, z in _runs(blocks, lo, hi):
                 part, own = buf[offs[a] : offs[z]], offs[a : z + 1] - offs[a]
                 low, starts, ends, counts = word_spans(part, own)
                 h = span_hash(low, starts, ends)
-                _, first, back = np.unique(h, return_index=True, return_inverse=True)
-                n = np.bincount(back, np.repeat(train[a:z], counts), len(first)).astype(np.int64)
+                own_group = np.repeat(group[a:z], counts)
                 raw, block = low.tobytes(), int(blocks[a])
-                for s, e, k in zip(starts[first].tolist(), ends[first].tolist(), n.tolist(), strict=True):
-                    key = (block, raw[s:e])
-                    seen[key] = seen.get(key, 0) + k
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in seen], pa.int64()), pa.array([k[1] for k in seen], pa.binary()), pa.array(list(seen.values()), pa.int64())], ["block", "word", "n"])
+                for g in np.unique(own_group).tolist():
+                    at = np.flatnonzero(own_group == g)
+                    _, first, n = np.unique(h[at], return_index=True, return_counts=True)
+                    first = at[first]
+                    for s, e, k in zip(starts[first].tolist(), ends[first].tolist(), n.tolist(), strict=True):
+                        key = (block, g, raw[s:e])
+                        seen[key] = seen.get(key, 0) + k
+        cols = list(zip(*seen, strict=True)) or [(), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary()), pa.array(list(seen.values()), pa.int64())], ["block", "group", "word", "n"])
 
 
 def _runs(blocks: np.ndarray, lo: int, hi: int):
@@ -152,15 +167,25 @@ def _expecter(names: list[bytes], logp: np.ndarray):
         model = Lattice(names, logp)
         total = np.zeros(len(names))
         for b in batches:
-            total += model.expected(b["word"].to_pylist(), b["c"].to_numpy().astype(np.float64))
+            total += model.expected(b["word"].to_pylist(), np.ones(b.num_rows))
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some])], ["piece", "n"])
 
     return run
 
 
-def _scorer(names: list[bytes], logp: np.ndarray, end_logp: float, base: tuple[float, float, int], train_tokens: int):
-    total, smooth, end_count = base
+def _scorer(names: list[bytes], logp: np.ndarray, sub: float, off: float, docs: np.ndarray, sizes: np.ndarray, kinds: np.ndarray, v: int):
+    """sizes, kinds, docs: tokens, distinct words and texts in training, by group."""
+    n, ends, smooth = int(sizes.sum()), int(docs.sum()), 0.1
+    total, groups = n + smooth * (v + 1), len(docs)
+    prior = np.log((docs + 1) / (ends + groups))
+
+    def by_group(whole: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """Log10 of each token's probability in each group, from its log probability overall and its counts."""
+        with np.errstate(divide="ignore"):
+            own = np.log(np.maximum(c - off, 0) / (sizes + 1))
+        rest = np.log((off * (kinds + (docs > 0)) + 1) / (sizes + 1))
+        return np.logaddexp(own, rest + whole[:, None]) / np.log(10)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         words = right["word"].to_pylist()
@@ -168,56 +193,71 @@ def _scorer(names: list[bytes], logp: np.ndarray, end_logp: float, base: tuple[f
         buf, offs = packed(right["word"].combine_chunks().cast(pa.binary()).cast(pa.large_binary()).view(pa.large_string())) if words else (np.zeros(0, np.uint8), np.zeros(1, np.int64))
         buf, offs = buf[offs[0] : offs[-1]], offs - offs[0]
         h = span_hash(buf, offs[:-1], offs[1:])
-        c = right["c"].to_numpy()
-        own = np.stack([model.scores(words) / np.log(10), np.log10((c + smooth) / total), c > 0], axis=1)
+        by = np.stack([right[f"c{g}"].to_numpy() for g in range(groups)], axis=1)
+        c = by.sum(axis=1)
+        with np.errstate(divide="ignore"):
+            whole = np.log(np.maximum(c - off, 0) / (n + 2))
+        own = np.column_stack([by_group(np.logaddexp(whole, sub + model.scores(words)), by), np.log10((c + smooth) / total), c > 0])
         order = np.argsort(h)
         h, own = h[order], own[order]
         buf, offs = packed(left["text"])
-        sums, n = np.zeros((left.num_rows, 3)), np.zeros(left.num_rows, np.int64)
+        sums, met = np.zeros((left.num_rows, groups + 2)), np.zeros(left.num_rows, np.int64)
         for lo, hi in pieces(offs):
-            low, starts, ends, counts = word_spans(buf[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo])
-            at, row = np.searchsorted(h, span_hash(low, starts, ends)), np.repeat(np.arange(lo, hi), counts)
-            n[lo:hi] = counts
-            for k in range(3):
+            low, first, last, counts = word_spans(buf[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo])
+            at, row = np.searchsorted(h, span_hash(low, first, last)), np.repeat(np.arange(lo, hi), counts)
+            met[lo:hi] = counts
+            for k in range(groups + 2):
                 sums[lo:hi, k] = np.bincount(row - lo, own[at, k], hi - lo)
-        end = np.array([end_logp / np.log(10), np.log10((end_count + smooth) / total), end_count > 0])
-        sums += end
-        return pa.table({"doc_id": left["doc_id"], "held_out": left["held_out"], "n_tokens": pa.array(n + 1), "n_known": pa.array(np.rint(sums[:, 2]).astype(np.int64)), "train_tokens": pa.array(np.full(len(n), train_tokens, np.int64)), "base_score": pa.array(sums[:, 1]), "score": pa.array(sums[:, 0])})
+        end = np.log([(ends - off * (ends > 0) + 1) / (n + 2)])
+        sums += np.concatenate([by_group(end, docs[None, :])[0], [np.log10((ends + smooth) / total), ends > 0]])
+        score = np.logaddexp.reduce(prior + sums[:, :groups] * np.log(10), axis=1) / np.log(10)
+        return pa.table({"doc_id": left["doc_id"], "held_out": left["held_out"], "n_tokens": pa.array(met + 1), "n_known": pa.array(np.rint(sums[:, -1]).astype(np.int64)), "train_tokens": pa.array(np.full(len(met), n, np.int64)), "base_score": pa.array(sums[:, -2]), "score": pa.array(score)})
 
     return run
 
 
-def lattice_scores(docs: DataFrame, path: str, folds: int = 10, turns: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def lattice_scores(docs: DataFrame, path: str, folds: int = 10, turns: int = 2, groups: int = 6, group_col: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10) of every whole text.
 
     Words are lower-cased (A-Z) runs without blanks, and each text ends with an end token. A word's
-    probability is the sum over all its segmentations into vocabulary pieces, by forward recursion in log
-    space; the vocabulary's own scores are the first weights, which `turns` rounds of expectation and
-    maximisation over the counts of all training words refine. A text's score is the sum of its words' log
-    probabilities and that of the end. base_score is a smoothed unigram over whole words.
+    probability is the sum over all its segmentations, by forward recursion in log space. The lattice's
+    edges are the vocabulary's pieces and, from a word's start to its end, the whole word if training met
+    it. The vocabulary's own scores are the pieces' first weights, which `turns` rounds of expectation and
+    maximisation over all distinct training words refine; whole words weigh as their counts less an
+    absolute discount, and the discounts are the pieces' share. So the words' and the end's probabilities
+    sum to one. With group_col, the most frequent `groups` values of it in training each add such counts of
+    their own, discounted in favour of the above, and a text's probability is the mixture over the groups,
+    its own value unused; without, there is one group. base_score is a smoothed unigram over whole words.
 
     Held out is crc32(id as text) mod folds = 0; all else trains. Texts are cut into blocks of 12 MB; what
     travels are the distinct words of each block, counted over the corpus and returned to it. Only piece
     totals (as many as the vocabulary has) reach the driver. Null and empty texts hold only the end token.
     Repeated rows each count and return a row. An empty table returns no rows. Other columns are ignored.
     """
-    d = checked(docs, doc_id=id_col, text=text_col)
-    d = d.select(F.col("doc_id").cast("long"), F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == 0, F.lit(False)).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = kept(d.mapInArrow(_blocks, "block long, doc_id long, held_out boolean, text string"), "texts")
-    own = kept(texts.mapInArrow(_block_words, "block long, word binary, n long"), "block_words")
-    counts = kept(own.groupBy("word").agg(F.sum("n").alias("c")), "counts")
-    ends = texts.where("not held_out").count()
-    got = counts.agg(F.sum("c").alias("n"), F.count_if("c > 0").alias("v")).first()
-    n, v = (got["n"] or 0) + ends, got["v"] + (ends > 0)
-    names, logp = vocabulary(path)
-    end_logp, some = np.log(0.05 / 1.05), counts.where("c > 0")
-    for _ in range(turns if n else 0):
+    d = checked(docs, doc_id=id_col, text=text_col, **({"group": group_col} if group_col else {}))
+    d = d.select(F.col("doc_id").cast("long"), F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == 0, F.lit(False)).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"), (F.col("group").cast("string") if group_col else F.lit(None).cast("string")).alias("group"))
+    often = d.where("not held_out and `group` is not null").groupBy("group").count().orderBy(F.desc("count"), "group").limit(groups)
+    d = d.withColumn("group", _groups_of([r["group"] for r in often.collect()]))
+    texts = kept(d.mapInArrow(_blocks, "block long, doc_id long, held_out boolean, `group` int, text string"), "texts")
+    own = kept(texts.mapInArrow(_block_words, "block long, `group` int, word binary, n long"), "block_words")
+    each = [f"c{g}" for g in range(groups + 1)]
+    counts = own.groupBy("word").agg(*[F.sum(F.when(F.col("group") == g, F.col("n")).otherwise(0)).alias(c) for g, c in enumerate(each)])
+    counts = kept(counts.withColumn("c", sum(map(F.col, each))), "counts")
+    held = {r["group"]: r["count"] for r in texts.where("not held_out").groupBy("group").count().collect()}
+    docs_in = np.array([held.get(g, 0) for g in range(groups + 1)], np.int64)
+    got = counts.agg(*[F.sum(c).alias(c) for c in each], *[F.count_if(F.col(c) > 0).alias("v" + c) for c in [*each, "c"]], F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")).first()
+    sizes, kinds, types = np.array([got[c] or 0 for c in each], np.int64) + docs_in, np.array([got["v" + c] for c in each]), got["vc"]
+    n, v = int(sizes.sum()), types + bool(docs_in.sum())
+    off = (got["n1"] + 1) / (got["n1"] + 2 * got["n2"] + 2)
+    names, logp, stop = vocabulary(path)
+    some = counts.where("c > 0").select("word")
+    for _ in range(turns if types else 0):
         rows = some.mapInArrow(_expecter(names, logp), "piece long, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()
         total = np.full(len(names), 0.01)
         for r in rows:
             total[r["piece"]] += r["n"]
-        whole = total.sum() + ends + 0.01
-        logp, end_logp = np.log(total / whole), float(np.log((ends + 0.01) / whole))
-    known = own.select("block", "word").distinct().join(counts, "word")
-    run = _scorer(names, logp, end_logp, (n + 0.1 * (v + 1), 0.1, ends), n)
+        logp, stop = normal(names, total, types)
+    sub = float(np.log((off * v + 1) / (n + 2)) + stop)
+    known = own.select("block", "word").distinct().join(counts.drop("c"), "word")
+    run = _scorer(names, logp, sub, off, docs_in, sizes, kinds, v)
     return texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -29,7 +29,7 @@ def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lattice_scores(_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
+    return lattice_scores(_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"), group_col="lang")
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ def terms(texts: pa.Array):
 class FactorizationMachine:
     """w0 + sum of w_i + sum over pairs of <v_i, v_j>, over the terms that a text holds, through a logistic."""
 
-    def __init__(self, factors: int = 6, rate: float = 0.1, decay: float = 2e-4, epochs: int = 6, least: int = 4, seed: int = 5):
+    def __init__(self, factors: int = 6, rate: float = 0.3, decay: float = 2e-5, epochs: int = 12, least: float = 10.0, seed: int = 5):
         self.factors, self.rate, self.decay, self.epochs, self.least, self.seed = factors, rate, decay, epochs, least, seed
         self.known, self.w0, self.w, self.v = np.zeros(0, np.int64), 0.0, np.zeros(1), np.zeros((1, factors))
 
@@ -44,10 +44,18 @@ class FactorizationMachine:
         return self.w0 + np.bincount(row, self.w[k], n) + 0.5 * ((sums**2).sum(axis=1) - own), sums
 
     def fit(self, rows: list[np.ndarray], y: np.ndarray) -> FactorizationMachine:
-        """Adagrad on the logistic loss. Terms of fewer than `least` rows are unknown; none or one class: a constant."""
+        """Adagrad on the logistic loss, over the terms that tell the classes apart.
+
+        A term stays if its log-likelihood ratio with the label reaches `least`. No rows or one class: a constant.
+        """
         rng = np.random.default_rng(self.seed)
-        seen, n = np.unique(np.concatenate([*rows, np.zeros(0, np.int64)]), return_counts=True)
-        self.known = seen[n >= self.least]
+        seen, back = np.unique(np.concatenate([*rows, np.zeros(0, np.int64)]), return_inverse=True)
+        n = np.bincount(back, minlength=len(seen)).astype(float)
+        k = np.bincount(back, np.repeat(y, [len(r) for r in rows]), len(seen))
+        all_n, all_k = max(len(y), 1), y.sum()
+        part = lambda a, b, c: np.where(a > 0, a * np.log(np.maximum(a, 1e-9) * all_n / np.maximum(b * c, 1e-9)), 0)
+        ratio = 2 * (part(k, n, all_k) + part(n - k, n, all_n - all_k) + part(all_k - k, all_n - n, all_k) + part(all_n - n - all_k + k, all_n - n, all_n - all_k))
+        self.known = seen[ratio >= self.least]
         self.w, self.v = np.zeros(len(self.known)), rng.normal(0, 0.01, (len(self.known), self.factors))
         share = (y.sum() + 0.5) / (len(y) + 1)
         self.w0 = float(np.log(share / (1 - share)))
@@ -81,7 +89,7 @@ def _termer(batches):
         yield pa.RecordBatch.from_arrays([b["y"], pa.array(list(terms(b["text"])), pa.list_(pa.int64()))], ["y", "terms"])
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, bound: int = 12_000, folds: int = 5, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, bound: int = 16_000, folds: int = 5, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """doc_id, held_out, score, predicted of every whole text, learned from labels outside the held-out fold.
 
     Held out is crc32(id as text) mod folds = 0. The machine is fitted on the driver on at most `bound`
