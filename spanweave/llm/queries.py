@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_encoded
+from .langid import languages
 from .lattice import lattice_scores
 from .media import audio_digest
 from .minhash import near_duplicates
@@ -36,6 +37,10 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(_table(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_encoded(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), digest=True)
 
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media": op1_media,
     "op2_lattice": op2_lattice,
     "op4_minhash": op4_minhash,
+    "op6_langid": op6_langid,
     "op7_bpe": op7_bpe,
     "op8_toxicity": op8_toxicity,
     "op10_packing": op10_packing,
