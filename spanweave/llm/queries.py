@@ -13,6 +13,7 @@ from .media import audio_digest
 from .minhash import near_duplicates
 from .packing import packed_sequences
 from .toxicity import toxicity_scores
+from .windows import without_repeats
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +50,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_sequences(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
 
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_langid": op6_langid,
     "op7_bpe": op7_bpe,
     "op8_toxicity": op8_toxicity,
+    "op9_windows": op9_windows,
     "op10_packing": op10_packing,
 }
 ORACLE: dict[str, str] = {}
