@@ -12,6 +12,8 @@ from .lattice import lattice_scores
 from .media import audio_digest
 from .minhash import near_duplicates
 from .packing import packed_sequences
+from .pii import pseudonymised
+from .quantise import near_vectors
 from .toxicity import toxicity_scores
 from .windows import without_repeats
 
@@ -34,10 +36,22 @@ def op2_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_scores(_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"), group_col="lang")
 
 
+#: Of these queries only; real runs pass a secret of their own.
+KEY = "example-key"
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymised(_table(spark, sf_dir, "documents").select("doc_id", "text"), KEY)
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op5_quantise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(_table(spark, sf_dir, "documents"))
 
@@ -61,7 +75,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media": op1_media,
     "op2_lattice": op2_lattice,
+    "op3_pii": op3_pii,
     "op4_minhash": op4_minhash,
+    "op5_quantise": op5_quantise,
     "op6_langid": op6_langid,
     "op7_bpe": op7_bpe,
     "op8_toxicity": op8_toxicity,
