@@ -147,13 +147,9 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
-def salted(df: DataFrame) -> DataFrame:
-    """Rows dealt evenly, whatever their keys."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
 def fields(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec) if hasattr(T.StructType, "fromDDL") else T._parse_datatype_string(spec)
+    """The schema that a DDL string names."""
+    return T.StructType.fromDDL(spec)
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:

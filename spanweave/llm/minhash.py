@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checked, components, fields, kept, mix, row_words, shingled
+from .common import checked, components, kept, mix, row_words, shingled
 
 SPACE = 1 << 20
 _RNG = np.random.Generator(np.random.PCG64(77))

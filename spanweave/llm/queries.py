@@ -22,7 +22,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -33,7 +33,7 @@ def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lattice_scores(_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"), group_col="lang")
+    return lattice_scores(_table(spark, sf_dir, "documents"), vocabulary_path("piece_bpe_32k.model"), group_col="lang")
 
 
 #: Of these queries only; real runs pass a secret of their own.
@@ -57,7 +57,7 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_encoded(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), digest=True)
+    return bpe_encoded(_table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), digest=True)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +69,7 @@ def op9_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed_sequences(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+    return packed_sequences(_table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
