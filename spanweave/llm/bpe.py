@@ -37,7 +37,7 @@ class RankArrayBPE:
     for the scans would be quadratic; both choose the least rank, leftmost first.
     """
 
-    def __init__(self, path: str, short: int = 96, cache: int = 400_000):
+    def __init__(self, path: str, short: int = 96, cache: int = 150_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         chars = visible_bytes()

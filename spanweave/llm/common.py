@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LOW = np.arange(256, dtype=np.uint8)
@@ -127,7 +128,13 @@ def lowered(col: Column | str) -> Column:
 
 
 def checked(df: DataFrame, **need: str) -> DataFrame:
-    """The needed columns under these names and nothing else, so that other columns can't clash."""
+    """The needed columns under these names and nothing else, so that other columns can't clash.
+
+    Where the session has no limit of its own, batches for Python hold 4 MB at most, so that memory follows
+    the longest text and not the number of rows.
+    """
+    if df.sparkSession.conf.get(BATCH_BYTES, None) in (None, "-1", "67108864", "64MB", "64m"):
+        df.sparkSession.conf.set(BATCH_BYTES, str(4 << 20))
     return df.select(*[df[src].alias(name) for name, src in need.items()])
 
 

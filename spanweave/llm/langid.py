@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .common import _BYTE, checked, mix, packed, pieces, span_hash, word_spans
 
 SPACE = 1 << 18
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 3 << 20
 
 
 def word_features(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lexicon: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -50,7 +50,7 @@ def _signer(width: int, bands: int, rows: int):
                 if len(s) and (x, len(s)) not in seen:
                     sig = circulant(s, view)
                     band = mix((sig.reshape(bands, rows).astype(np.uint64) * weight).sum(axis=1) + np.arange(bands, dtype=np.uint64) * weight[0])
-                    if len(seen) > 20_000:
+                    if len(seen) > 4_000:
                         seen.clear()
                     seen[x, len(s)] = band.view(np.int64)
                 n.append(len(s))

@@ -2,49 +2,82 @@
 
 from __future__ import annotations
 
+import gc
+import re
 import zlib
+from array import array
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bpe import visible_bytes
 from .common import checked, kept
 
-_ODD_SPACE = regex.compile(r"[\x1c-\x1f\x85]")
+_ODD_SPACE = re.compile(r"[\x1c-\x1f\x85]")
+_SIMPLE = re.compile(r"([!-&(-/:;=-@\[-`{-~]*)([^\W\d_]+)([!-&(-/:;=-@\[-`{-~]*)")
 
 
 class WordEncoder:
-    """Ids as little-endian 32-bit bytes; the tokenizers library encodes each new blank-separated chunk once.
+    """Ids as little-endian 32-bit bytes; the tokenizers library encodes each new word once.
 
-    The vocabulary drops white space and never joins across it, so a text's ids are those of its chunks.
-    Texts with rare separators, which str.split() and the library see differently, go to it whole.
+    The vocabulary drops white space and never joins across it, so a text's ids are those of its
+    blank-separated chunks; and a chunk of letters between marks is three words to it. A new word goes to
+    the library's model in lower case, by the characters that stand for its bytes. Chunks of any other form
+    go through the whole library, and so do texts with rare separators, which str.split() and the library
+    see differently.
     """
 
     def __init__(self, path: str, cache: int = 400_000):
         from tokenizers import Tokenizer
 
         self.lib, self.known, self.cache = Tokenizer.from_file(path), {}, cache
+        self.shown = {b: c for c, b in visible_bytes().items()}
         self.lib.no_truncation()
         self.lib.no_padding()
 
     def whole(self, text: str) -> bytes:
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def learn(self, chunks: list[str]) -> None:
+        known, mixed, other, new = self.known, [], [], []
+        for c in chunks:
+            if not c.isascii() and (not is_normalized("NFC", c) or "Σ" in c or "İ" in c):
+                other.append(c)  # composes, or its lower case hangs on its place or is more than letters
+            elif c.isalpha():
+                new.append(c)
+            elif (m := _SIMPLE.fullmatch(c)) and m[2].isalpha():
+                mixed.append((c, m[1], m[2], m[3]))
+            else:
+                other.append(c)
+        split, shown = self.lib.model.tokenize, self.shown
+        for w in {*new, *(w for _, *own in mixed for w in own)}.difference(known, [""]):
+            x = w.lower()
+            if not x.isascii():
+                x = x.encode().decode("latin-1").translate(shown)
+            known[w] = array("I", [t.id for t in split(x)]).tobytes()
+        known[""] = b""
+        known.update([(c, known[x] + known[y] + known[z]) for c, x, y, z in mixed])
+        for c, e in zip(other, self.lib.encode_batch(other, add_special_tokens=False), strict=True):
+            known[c] = np.array(e.ids, "<u4").tobytes()
+
     def encode(self, texts: list[str | None]):
-        for lo in range(0, len(texts), 256):
-            part = [t or "" for t in texts[lo : lo + 256]]
+        for lo in range(0, len(texts), 1024):
+            part = [t or "" for t in texts[lo : lo + 1024]]
             if len(self.known) > self.cache:
                 self.known.clear()
-            words = [None if _ODD_SPACE.search(t) else t.split() for t in part]
-            new = list({w for ws in words if ws for w in ws if w not in self.known})
-            for w, e in zip(new, self.lib.encode_batch(new, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
+            chunks = [None if _ODD_SPACE.search(t) else t.split() for t in part]
+            new = set().union(*(ws for ws in chunks if ws)).difference(self.known)
+            if new:
+                gc.disable()  # it would walk the new tuples again and again
+                self.learn(list(new))
+                gc.enable()
             known = self.known.__getitem__
-            for t, ws in zip(part, words, strict=True):
+            for t, ws in zip(part, chunks, strict=True):
                 yield b"".join(map(known, ws)) if ws is not None else self.whole(t)
 
 

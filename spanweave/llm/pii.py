@@ -19,6 +19,10 @@ KINDS: dict[str, str] = {
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\w)|(?<![\w+])\+\d{8,15}(?!\w)",
     "name": r"(?<![\p{L}])(?:Mr|Mrs|Ms|Herr|Frau|Monsieur|Madame|Señor|Señora|Господин|Госпожа)\.? \p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+){0,2}",
 }
+#: What every entity holds at least: a quick look before the patterns.
+SIGNS = "[0-9@=:]"
+KEYS = ("AKIA", "ASIA")
+TITLES = ("Mr", "Ms", "Herr", "Frau", "Monsieur", "Madame", "Señor", "Господин", "Госпожа")
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 TITLE = r"^(\p{L}+\.? )"
 FEMALE = r"^(?:Mrs|Ms|Frau|Madame|Señora|Госпожа)"
@@ -168,7 +172,10 @@ def pseudonymised(docs: DataFrame, key: str, text_col: str = "text") -> DataFram
     """
     cols = [c for c in docs.columns if c != "pii_count"]
     base = docs.select(*[docs[c] for c in cols])
-    hit = F.coalesce(base[text_col].rlike(PATTERN), F.lit(False))
+    sign = base[text_col].rlike(SIGNS)
+    for word in (*KEYS, *TITLES):
+        sign = sign | base[text_col].contains(word)
+    hit = F.coalesce(F.when(sign, base[text_col].rlike(PATTERN)).otherwise(F.lit(False)), F.lit(False))
     row = F.struct(*[base[c] for c in cols])
     rows = base.where(hit).select(row.alias("row"), base[text_col].alias("text"), F.monotonically_increasing_id().alias("uid"))
     rows = kept(rows.select("uid", "row", F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)).alias("found"), F.split("text", PATTERN, -1).alias("between")), "rows")
