@@ -147,10 +147,16 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """A written copy in the shared folder: cuts lineage and survives the loss of executors."""
+def kept(df: DataFrame, name: str, release: bool = False) -> DataFrame:
+    """A written copy in the shared folder: cuts lineage and survives the loss of executors.
+
+    Spark drops the shuffle files of finished steps when the driver collects its garbage; `release` asks
+    for that at once, after steps that shuffle much.
+    """
     at = f"{shared_dir(df.sparkSession)}/spanweave/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(at)
+    if release:
+        df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
