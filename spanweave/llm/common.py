@@ -157,7 +157,16 @@ def kept(df: DataFrame, name: str, release: bool = False) -> DataFrame:
     df.write.option("compression", "zstd").parquet(at)
     if release:
         df.sparkSession.sparkContext._jvm.System.gc()
-    return df.sparkSession.read.schema(df.schema).parquet(at)
+    out = df.sparkSession.read.schema(df.schema).parquet(at)
+    out.written_at = at
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Removes a table made by kept() that nothing needs any more."""
+    jvm = df.sparkSession.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df.written_at)
+    path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def fields(spec: str) -> T.StructType:
