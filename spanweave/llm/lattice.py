@@ -135,26 +135,34 @@ def _blocks(batches):
 
 
 def _block_words(batches):
+    """Distinct words of each block and group with their training counts (group -1: held out), a block at a time."""
+    seen: dict[tuple[int, bytes], int] = {}
+    now = None
+
+    def said():
+        cols = list(zip(*seen, strict=True)) or [(), ()]
+        return pa.RecordBatch.from_arrays([pa.array([now] * len(seen), pa.int64()), pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.binary()), pa.array(list(seen.values()), pa.int64())], ["block", "group", "word", "n"])
+
     for b in batches:
         buf, offs = packed(b["text"])
         blocks, group = b["block"].to_numpy(), np.where(b["held_out"].to_numpy(zero_copy_only=False), -1, b["group"].to_numpy())
-        seen: dict[tuple[int, int, bytes], int] = {}
         for lo, hi in pieces(offs, 4 << 20):
             for a, z in _runs(blocks, lo, hi):
+                if now != int(blocks[a]):
+                    yield said()
+                    seen, now = {}, int(blocks[a])
                 part, own = buf[offs[a] : offs[z]], offs[a : z + 1] - offs[a]
                 low, starts, ends, counts = word_spans(part, own)
                 h = span_hash(low, starts, ends)
-                own_group = np.repeat(group[a:z], counts)
-                raw, block = low.tobytes(), int(blocks[a])
+                own_group, raw = np.repeat(group[a:z], counts), low.tobytes()
                 for g in np.unique(own_group).tolist():
                     at = np.flatnonzero(own_group == g)
                     _, first, n = np.unique(h[at], return_index=True, return_counts=True)
                     first = at[first]
                     for s, e, k in zip(starts[first].tolist(), ends[first].tolist(), n.tolist(), strict=True):
-                        key = (block, g, raw[s:e])
-                        seen[key] = seen.get(key, 0) + k
-        cols = list(zip(*seen, strict=True)) or [(), (), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary()), pa.array(list(seen.values()), pa.int64())], ["block", "group", "word", "n"])
+                        key = (g, raw[s:e])
+                        seen[key] = seen.get(key, 0) + (k if g >= 0 else 0)
+    yield said()
 
 
 def _runs(blocks: np.ndarray, lo: int, hi: int):
@@ -242,7 +250,7 @@ def lattice_scores(docs: DataFrame, path: str, folds: int = 10, turns: int = 2,
     own = kept(texts.mapInArrow(_block_words, "block long, `group` int, word binary, n long"), "block_words")
     each = [f"c{g}" for g in range(groups + 1)]
     counts = own.groupBy("word").agg(*[F.sum(F.when(F.col("group") == g, F.col("n")).otherwise(0)).alias(c) for g, c in enumerate(each)])
-    counts = kept(counts.withColumn("c", sum(map(F.col, each))), "counts")
+    counts = kept(counts.withColumn("c", sum(map(F.col, each))), "counts", release=True)
     held = {r["group"]: r["count"] for r in texts.where("not held_out").groupBy("group").count().collect()}
     docs_in = np.array([held.get(g, 0) for g in range(groups + 1)], np.int64)
     got = counts.agg(*[F.sum(c).alias(c) for c in each], *[F.count_if(F.col(c) > 0).alias("v" + c) for c in [*each, "c"]], F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")).first()
