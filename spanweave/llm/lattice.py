@@ -134,35 +134,43 @@ def _blocks(batches):
         yield pa.RecordBatch.from_arrays([pa.array(block), b["doc_id"], b["held_out"], b["group"], b["text"].fill_null("")], ["block", "doc_id", "held_out", "group", "text"])
 
 
-def _block_words(batches):
-    """Distinct words of each block and group with their training counts (group -1: held out), a block at a time."""
-    seen: dict[tuple[int, bytes], int] = {}
-    now = None
+def _block_words(groups: int):
+    """Distinct words of each block, a row each, with their training counts in each group, a block at a time."""
 
-    def said():
-        cols = list(zip(*seen, strict=True)) or [(), ()]
-        return pa.RecordBatch.from_arrays([pa.array([now] * len(seen), pa.int64()), pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.binary()), pa.array(list(seen.values()), pa.int64())], ["block", "group", "word", "n"])
+    def run(batches):
+        seen: dict[bytes, int] = {}
+        parts: list[tuple[np.ndarray, int, np.ndarray]] = []
+        now = None
 
-    for b in batches:
-        buf, offs = packed(b["text"])
-        blocks, group = b["block"].to_numpy(), np.where(b["held_out"].to_numpy(zero_copy_only=False), -1, b["group"].to_numpy())
-        for lo, hi in pieces(offs, 4 << 20):
-            for a, z in _runs(blocks, lo, hi):
-                if now != int(blocks[a]):
-                    yield said()
-                    seen, now = {}, int(blocks[a])
-                part, own = buf[offs[a] : offs[z]], offs[a : z + 1] - offs[a]
-                low, starts, ends, counts = word_spans(part, own)
-                h = span_hash(low, starts, ends)
-                own_group, raw = np.repeat(group[a:z], counts), low.tobytes()
-                for g in np.unique(own_group).tolist():
-                    at = np.flatnonzero(own_group == g)
-                    _, first, n = np.unique(h[at], return_index=True, return_counts=True)
-                    first = at[first]
-                    for s, e, k in zip(starts[first].tolist(), ends[first].tolist(), n.tolist(), strict=True):
-                        key = (g, raw[s:e])
-                        seen[key] = seen.get(key, 0) + (k if g >= 0 else 0)
-    yield said()
+        def said():
+            by = np.zeros((groups, len(seen)), np.int64)
+            for at, g, n in parts:
+                by[g][at] += n
+            cols = [pa.array([now] * len(seen), pa.int64()), pa.array(list(seen), pa.binary()), *map(pa.array, by)]
+            return pa.RecordBatch.from_arrays(cols, ["block", "word", *[f"c{g}" for g in range(groups)]])
+
+        for b in batches:
+            buf, offs = packed(b["text"])
+            blocks, group = b["block"].to_numpy(), np.where(b["held_out"].to_numpy(zero_copy_only=False), -1, b["group"].to_numpy())
+            for lo, hi in pieces(offs, 4 << 20):
+                for a, z in _runs(blocks, lo, hi):
+                    if now != int(blocks[a]):
+                        yield said()
+                        seen, parts, now = {}, [], int(blocks[a])
+                    part, own = buf[offs[a] : offs[z]], offs[a : z + 1] - offs[a]
+                    low, starts, ends, counts = word_spans(part, own)
+                    h = span_hash(low, starts, ends)
+                    own_group, raw = np.repeat(group[a:z], counts), low.tobytes()
+                    for g in np.unique(own_group).tolist():
+                        at = np.flatnonzero(own_group == g)
+                        _, first, n = np.unique(h[at], return_index=True, return_counts=True)
+                        spans = zip(starts[at[first]].tolist(), ends[at[first]].tolist(), strict=True)
+                        row = np.fromiter((seen.setdefault(raw[s:e], len(seen)) for s, e in spans), np.int64, len(first))
+                        if g >= 0:
+                            parts.append((row, g, n))
+        yield said()
+
+    return run
 
 
 def _runs(blocks: np.ndarray, lo: int, hi: int):
@@ -247,9 +255,9 @@ def lattice_scores(docs: DataFrame, path: str, folds: int = 10, turns: int = 2,
     often = d.where("not held_out and `group` is not null").groupBy("group").count().orderBy(F.desc("count"), "group").limit(groups)
     d = d.withColumn("group", _groups_of([r["group"] for r in often.collect()]))
     texts = kept(d.mapInArrow(_blocks, "block long, doc_id long, held_out boolean, `group` int, text string"), "texts")
-    own = kept(texts.mapInArrow(_block_words, "block long, `group` int, word binary, n long"), "block_words")
     each = [f"c{g}" for g in range(groups + 1)]
-    counts = own.groupBy("word").agg(*[F.sum(F.when(F.col("group") == g, F.col("n")).otherwise(0)).alias(c) for g, c in enumerate(each)])
+    own = kept(texts.mapInArrow(_block_words(len(each)), f"block long, word binary, {', '.join(c + ' long' for c in each)}"), "block_words")
+    counts = own.groupBy("word").agg(*[F.sum(c).alias(c) for c in each])
     counts = kept(counts.withColumn("c", sum(map(F.col, each))), "counts", release=True)
     held = {r["group"]: r["count"] for r in texts.where("not held_out").groupBy("group").count().collect()}
     docs_in = np.array([held.get(g, 0) for g in range(groups + 1)], np.int64)
@@ -266,6 +274,6 @@ def lattice_scores(docs: DataFrame, path: str, folds: int = 10, turns: int = 2,
             total[r["piece"]] += r["n"]
         logp, stop = normal(names, total, types)
     sub = float(np.log((off * v + 1) / (n + 2)) + stop)
-    known = own.select("block", "word").distinct().join(counts.drop("c"), "word")
+    known = own.select("block", "word").join(counts.drop("c"), "word")
     run = _scorer(names, logp, sub, off, docs_in, sizes, kinds, v)
     return texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
