@@ -27,3 +27,11 @@ def run_lengths(vector: Column) -> Column:
 def area(runs: Column) -> Column:
     """Pixels that are on: the sum of every second run."""
     return F.aggregate(F.filter(runs, lambda _, i: i % 2 == 1), F.lit(0).cast("long"), lambda a, x: a + x)
+
+
+def well_formed(size: Column, counts: Column) -> Column:
+    """Whether run lengths fill a mask of this size; null (an absent mask) counts as well formed."""
+    total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
+    area_of = F.aggregate(size, F.lit(1).cast("long"), lambda a, x: a * x)
+    ok = (F.size(size) == 2) & F.forall(size, lambda x: x > 0) & F.forall(counts, lambda c: c >= 0) & (total == area_of)
+    return F.when(size.isNull() & counts.isNull(), True).otherwise(F.coalesce(ok, F.lit(False)))

@@ -41,3 +41,16 @@ def overlaps(vectors: DataFrame, per_video: int, least: float) -> DataFrame:
     both = x.join(y, "video").where("a < b")
     both = both.select("video", "a", "b", F.bit_count(F.col("p").bitwiseAND(F.col("q"))).cast("long").alias("inter"), F.bit_count(F.col("p").bitwiseOR(F.col("q"))).cast("long").alias("total"))
     return both.where((F.col("total") > 0) & (F.col("inter") >= least * F.col("total")))
+
+
+def duplicates(vectors: DataFrame, per_video: int) -> DataFrame:
+    """(vec_id, alias_of): the first track of the same video with the same mask; a map-side least joined back."""
+    m = vectors.select(F.floor(F.col("vec_id") / per_video).alias("video"), "vec_id", sign_bits(F.col("embedding")).alias("bits"))
+    first = m.groupBy("video", "bits").agg(F.min("vec_id").alias("alias_of"))
+    return m.join(first, ["video", "bits"]).select("vec_id", "alias_of")
+
+
+def span_links(groups: DataFrame, record: str, span: str, member: str) -> DataFrame:
+    """The inverse of groups: for each record's span, all members of groups on it, sorted, as text."""
+    g = groups.select(record, span, member).distinct().groupBy(record, span)
+    return g.agg(F.array_join(F.sort_array(F.collect_list(member)).cast("array<string>"), ",").alias("members"))

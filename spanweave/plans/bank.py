@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import stable_key
-from ..operators import review, tracks, units
+from ..functions.captions import parsed
+from ..operators import packets, review, tracks, units
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -204,3 +205,35 @@ def preview_selection(t):
     c = t("conversations").select("conv_id", "turn", "role").distinct()
     k = F.struct(stable_key("preview", F.col("conv_id"), F.col("turn")).alias("k"), F.col("turn"))
     return c.groupBy("conv_id", "role").agg(F.min(k).alias("r")).select("conv_id", "r.turn")
+
+
+@_query(f"SELECT vec_id, min(vec_id) OVER (PARTITION BY vec_id // 16, bits) AS alias_of FROM (SELECT vec_id, {_BITS} AS bits FROM embeddings)")
+def duplicate_tracks(t):
+    return tracks.duplicates(t("embeddings"), 16)
+
+
+@_query("SELECT conv_id, role, string_agg(CAST(turn AS VARCHAR), ',' ORDER BY turn) AS members FROM (SELECT DISTINCT conv_id, role, turn FROM conversations) GROUP BY 1, 2")
+def span_inverse_index(t):
+    return tracks.span_links(t("conversations"), "conv_id", "role", "turn")
+
+
+@_query("SELECT lang, source, doc_id FROM (SELECT lang, source, d.doc_id, row_number() OVER (PARTITION BY lang, source ORDER BY sha256('accept:' || d.doc_id), d.doc_id) AS n FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE quality = 1) WHERE n = 1")
+def one_accepted_per_video(t):
+    good = t("documents").select("doc_id", "lang", "source").join(t("labels").where("quality = 1").select("doc_id"), "doc_id")
+    first = F.min(F.struct(stable_key("accept", F.col("doc_id")).alias("k"), "doc_id")).alias("r")
+    return good.groupBy("lang", "source").agg(first).select("lang", "source", "r.doc_id")
+
+
+@_query("""WITH RECURSIVE it AS (SELECT l_orderkey AS k, CAST(l_quantity AS DOUBLE) AS q, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity) AS i FROM lineitem),
+f AS (SELECT k, i, q, q AS total, 1 AS n, 0 AS batch FROM it WHERE i = 1
+UNION ALL SELECT it.k, it.i, it.q, CASE WHEN f.n < 3 AND f.total + it.q <= 60 THEN f.total + it.q ELSE it.q END, CASE WHEN f.n < 3 AND f.total + it.q <= 60 THEN f.n + 1 ELSE 1 END, CASE WHEN f.n < 3 AND f.total + it.q <= 60 THEN f.batch ELSE f.batch + 1 END FROM f JOIN it ON it.k = f.k AND it.i = f.i + 1)
+SELECT k AS l_orderkey, batch, CAST(count(*) AS INTEGER) AS n, sum(q) AS weight FROM f GROUP BY 1, 2""")
+def batch_packing(t):
+    return packets.greedy(t("lineitem"), "l_orderkey", ["l_linenumber"], "l_quantity", 60, 3)
+
+
+@_query("""SELECT conv_id, turn, CASE WHEN role = 'user' THEN role || ' speaks' END AS text, CASE WHEN role = 'user' THEN CAST(length(role) AS INTEGER) END AS stop,
+CASE WHEN role <> 'user' THEN 'unknown_id' END AS error FROM conversations""")
+def tag_parse(t):
+    c = t("conversations").select("conv_id", "turn", F.concat(F.lit("[1]"), "role", F.lit("[/1] speaks")).alias("tagged"), F.when(F.col("role") == "user", F.array(F.lit(1))).otherwise(F.array(F.lit(2))).alias("ids"))
+    return c.withColumn("p", parsed("tagged", "ids")).select("conv_id", "turn", "p.text", F.get("p.mentions", F.lit(0))["stop"].alias("stop"), "p.error")
