@@ -29,6 +29,28 @@ def visible_bytes() -> dict[str, int]:
     return out
 
 
+class Recent(dict):
+    """Results of `make` for keys of up to `longest` characters, at most 2 * `size` of them.
+
+    A full table becomes the older one, of which a key that is met again is taken over; so what a text
+    repeats stays, and what is rare goes.
+    """
+
+    def __init__(self, make, size: int, longest: int = 40):
+        super().__init__()
+        self.make, self.size, self.longest, self.older = make, size, longest, {}
+
+    def __missing__(self, key: str):
+        if (out := self.older.get(key)) is None:
+            out = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.size:
+                self.older = dict(self)
+                self.clear()
+            self[key] = out
+        return out
+
+
 class RankArrayBPE:
     """Encodes with merge ranks; parts and the ranks of adjacent parts lie in two short lists.
 
@@ -37,21 +59,24 @@ class RankArrayBPE:
     for the scans would be quadratic; both choose the least rank, leftmost first.
     """
 
-    def __init__(self, path: str, short: int = 96, cache: int = 150_000):
+    def __init__(self, path: str, short: int = 96, cache: int = 200_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         chars = visible_bytes()
-        vocab, self.short, self.cache = spec["model"]["vocab"], short, cache
+        vocab, self.short = spec["model"]["vocab"], short
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.bytes = {i: bytes(chars[c] for c in t) for t, i in vocab.items() if t not in self.special}
         self.bytes |= {i: t.encode() for t, i in self.special.items()}
+        self.decimal = {i: str(i) for i in self.bytes}
         self.first = {chars[t]: i for t, i in vocab.items() if len(t) == 1}
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        # a pair of ids as one number, and its rank and the id it makes as another: numbers order by rank
+        self.bits = max(self.bytes).bit_length()
+        self.merges: dict[int, int] = {}
         for rank, m in enumerate(spec["model"]["merges"]):
             a, b = m if isinstance(m, list) else m.split(" ")
-            self.merges.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.chunks: dict[str, tuple[int, ...]] = {}
+            self.merges.setdefault(vocab[a] << self.bits | vocab[b], rank << self.bits | vocab[a + b])
+        self.words = Recent(self.word, cache // 4)
+        self.chunks = Recent(lambda part: self.chunk(" " + part), cache)
         self.split = regex.compile(PATTERN)
         self.special_at = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
         self.gaps = regex.compile(r"\s\s")
@@ -60,66 +85,54 @@ class RankArrayBPE:
         ids = [self.first[b] for b in word.encode()]
         if len(ids) > self.short:
             return self.long_word(ids)
-        none, merges = (NEVER, -1), self.merges
-        pairs = [merges.get(p, none) for p in zip(ids, ids[1:], strict=False)]
-        while pairs:
-            least = min(pairs)
-            if least is none or least[0] == NEVER:
-                break
-            i = pairs.index(least)
-            ids[i : i + 2] = [least[1]]
-            del pairs[i]
+        bits, get, mask = self.bits, self.merges.get, (1 << self.bits) - 1
+        ranks = [get(a << bits | b, NEVER) for a, b in zip(ids, ids[1:], strict=False)]
+        while ranks and (least := min(ranks)) != NEVER:
+            i = ranks.index(least)
+            ids[i] = made = least & mask
+            del ids[i + 1], ranks[i]
             if i:
-                pairs[i - 1] = merges.get((ids[i - 1], ids[i]), none)
-            if i < len(pairs):
-                pairs[i] = merges.get((ids[i], ids[i + 1]), none)
+                ranks[i - 1] = get(ids[i - 1] << bits | made, NEVER)
+            if i < len(ranks):
+                ranks[i] = get(made << bits | ids[i + 1], NEVER)
         return tuple(ids)
 
     def long_word(self, ids: list[int]) -> tuple[int, ...]:
-        after, before, merges = [*range(1, len(ids)), -1], [*range(-1, len(ids) - 1)], self.merges
-        heap = [(m[0], i, ids[i], ids[i + 1], m[1]) for i in range(len(ids) - 1) if (m := merges.get((ids[i], ids[i + 1])))]
-        heapq.heapify(heap)
+        after, before, bits = [*range(1, len(ids)), -1], [*range(-1, len(ids) - 1)], self.bits
+        heap = []
+
+        def offer(left: int, right: int) -> None:
+            if (m := self.merges.get(ids[left] << bits | ids[right])) is not None:
+                heapq.heappush(heap, (m, left, ids[left], ids[right]))
+
+        for i in range(len(ids) - 1):
+            offer(i, i + 1)
         while heap:
-            _, i, a, b, made = heapq.heappop(heap)
+            m, i, a, b = heapq.heappop(heap)
             j = after[i]
             if ids[i] != a or j < 0 or ids[j] != b:
                 continue
-            ids[i], ids[j], after[i] = made, -1, after[j]
+            ids[i], ids[j], after[i] = m & ((1 << bits) - 1), -1, after[j]
             if after[j] >= 0:
                 before[after[j]] = i
-            for left in (before[i], i):
-                if left >= 0 and (right := after[left]) >= 0 and (m := merges.get((ids[left], ids[right]))):
-                    heapq.heappush(heap, (m[0], left, ids[left], ids[right], m[1]))
+                offer(i, after[j])
+            if before[i] >= 0:
+                offer(before[i], i)
         return tuple(i for i in ids if i >= 0)
 
     def chunk(self, text: str) -> tuple[int, ...]:
-        out: list[int] = []
-        for w in self.split.findall(text):
-            if (ids := self.words.get(w)) is None:
-                if len(self.words) > self.cache:
-                    self.words.clear()
-                ids = self.words[w] = self.word(w)
-            out += ids
-        return tuple(out)
+        """Ids of a text by the split pattern; a chunk of one word is remembered as a chunk alone."""
+        words = self.split.findall(text)
+        return self.word(words[0]) if len(words) == 1 else tuple(chain.from_iterable(map(self.words.__getitem__, words)))
 
     def plain(self, text: str) -> list[int]:
-        """Text without special tokens. Between single blanks a split depends on nothing else, so such chunks are cached."""
+        """Text without special tokens. Between single blanks a split depends on nothing else, so such chunks are remembered."""
         if not text:
             return []
         if self.gaps.search(text):
             return list(self.chunk(text))
-        chunks, out = self.chunks, []
-        parts = text.split(" ")
-        for at, p in enumerate(parts):
-            key = " " + p if at else p
-            if (ids := chunks.get(key)) is None:
-                if len(chunks) > self.cache:
-                    chunks.clear()
-                ids = self.chunk(key) if key else ()
-                if len(key) <= 40:
-                    chunks[key] = ids
-            out.append(ids)
-        return list(chain.from_iterable(out))
+        start, *parts = text.split(" ")
+        return list(chain(self.chunk(start) if start else (), chain.from_iterable(map(self.chunks.__getitem__, parts))))
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of the whole text; null is empty. A special token's own string becomes its id."""
@@ -150,7 +163,7 @@ def _map(path: str, digest: bool):
                 ids = bpe.encode(text.as_py())
                 back = bpe.decode(ids)
                 n.append(len(ids))
-                ids_out.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest() if digest else ids)
+                ids_out.append(hashlib.sha256(",".join(map(bpe.decimal.__getitem__, ids)).encode()).hexdigest() if digest else ids)
                 text_out.append(hashlib.sha256(back.encode()).hexdigest() if digest else back)
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] if digest else ["doc_id", "n_tokens", "ids", "decoded"]
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(n, pa.int64()), pa.array(ids_out, pa.string() if digest else pa.list_(pa.int32())), pa.array(text_out, pa.string())], names)
