@@ -22,7 +22,7 @@ from spanweave.llm.packing import bins, packed_sequences
 from spanweave.llm.pii import entity_surrogates, pseudonymised
 from spanweave.llm.quantise import near_vectors
 from spanweave.llm.toxicity import FactorizationMachine, toxicity_scores
-from spanweave.llm.windows import compact_windows, without_repeats
+from spanweave.llm.windows import compact_windows, passages, without_repeats
 
 RNG = np.random.default_rng(4)
 VOCAB = ["".join(RNG.choice(list("abcdeéßж"), RNG.integers(1, 7))) for _ in range(400)]
@@ -244,6 +244,21 @@ def test_compact_windows_match_all_runs():
         assert got == {c: (min(i for i, _ in x), max(j for _, j in x)) for c, x in want.items()}
 
 
+def test_passages_find_copies_beside_repeated_shingles():
+    own = np.arange(1000, 1060, dtype=np.uint32)
+    for back in (10, 20, 30, 45, 58, 80):
+        for k in (0, 20, 59):
+            other = np.concatenate([np.arange(100, dtype=np.uint32), own, np.arange(200, 300, dtype=np.uint32)])
+            other[100 + k - back] = own[k]
+            if 100 + k - back < 100:
+                assert passages(own, 0, 59, other, 5, 50, 80) == [(0, 59)], (back, k)
+    # 50 words whose second one is edited: two shingles at the edge are not met
+    mine = np.concatenate([[5007, 5008, 5009], own[2:46], [5005, 5006]]).astype(np.uint32)
+    theirs = np.concatenate([np.arange(100, dtype=np.uint32), own[:46]])
+    assert passages(mine, 0, len(mine) - 1, theirs, 5, 50, 80) == [(1, 46)]
+    assert passages(mine[:30], 0, 29, theirs, 5, 50, 80) == []
+
+
 def test_repeats(docs, none):
     got = by_id(without_repeats(docs))
     assert got[0].text is None and got[1].text == "" and got[6].text == BASE
