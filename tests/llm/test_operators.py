@@ -244,6 +244,22 @@ def test_compact_windows_match_all_runs():
         assert got == {c: (min(i for i, _ in x), max(j for _, j in x)) for c, x in want.items()}
 
 
+def test_repeats_beyond_the_first_holder(spark):
+    """A notice alone in the first document hides no longer passage of later ones that starts with it."""
+    rows, want = [], set()
+    for k in range(12):
+        notice, more = prose(24, 900 + k), prose(30, 930 + k)
+        texts = [prose(60, 1000 + 3 * k) + " " + notice, notice + " " + more + " " + prose(60, 1001 + 3 * k), prose(60, 1002 + 3 * k) + " " + notice + " " + more]
+        rows += [(3 * k + i, t) for i, t in enumerate(texts)]
+        want.add(3 * k + 2)
+    # a line that stands before the passage in its source, too
+    line, rest = prose(30, 980), prose(25, 981)
+    rows += [(100, line + " " + prose(700, 982) + " " + line + " " + rest), (101, prose(40, 983) + " " + line + " " + rest)]
+    got = by_id(without_repeats(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert {i for i, r in got.items() if r.dup_words} == want | {101}
+    assert all(got[i].dup_words == 54 and got[i].spans[0]["source"] == i - 1 for i in want) and got[101].dup_words == 55
+
+
 def test_passages_find_copies_beside_repeated_shingles():
     own = np.arange(1000, 1060, dtype=np.uint32)
     for back in (10, 20, 30, 45, 58, 80):
