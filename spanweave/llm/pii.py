@@ -11,7 +11,7 @@ from .common import kept
 KINDS: dict[str, str] = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "access_key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "secret": r"(?<![A-Za-z0-9_])(?i:password|passwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_.~-]{8,}[\"']?",
+    "secret": r"(?<![A-Za-z0-9_])(?i:password|passwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?(?=[+/_.~-]*[A-Za-z0-9])[A-Za-z0-9+/_.~-]{8,}[\"']?",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "card": r"(?<![\w+])[3-6]\d{3}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}(?!\w)",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d)",
@@ -109,19 +109,22 @@ def _name(canon: Column, digest: Column) -> Column:
 
 
 def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
-    """The keyed replacement of a canonical value, of its kind and format."""
+    """The keyed replacement of a canonical value, of its kind and format; e-mail users and secrets grow by a
+    letter with every third attempt, so that short values don't run out of surrogates."""
+    longer = F.repeat(F.lit("a"), F.floor(attempt / 3).cast("int"))
     inner = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, canon, attempt.cast("string")), 256)
     digest = F.sha2(F.concat(F.lit(key), inner), 256)
     octet = [(_byte(digest, k) % 254 + 1).cast("string") for k in range(4)]
     at = F.instr(canon, "@")
     return (
-        F.when(kind == "email", F.concat(_shaped(F.substring(canon, F.lit(1), at - 1), digest), F.lit("@"), _shaped(F.regexp_extract(canon, r"@([^.]+)", 1), F.sha2(digest, 256)), F.lit(".example")))
+        F.when(kind == "email", F.concat(_shaped(F.concat(F.substring(canon, F.lit(1), at - 1), longer), digest), F.lit("@"), _shaped(F.regexp_extract(canon, r"@([^.]+)", 1), F.sha2(digest, 256)), F.lit(".example")))
         .when(kind == "card", _luhn(_shaped(canon, digest, 1)))
         .when(kind == "ip", F.concat_ws(".", *octet))
         .when(kind == "access_key", _shaped(canon, digest, 4))
         .when(kind == "iban", _shaped(canon, digest, 2))
         .when(kind == "phone", _shaped(canon, digest, 1))
         .when(kind == "name", _name(canon, digest))
+        .when(kind == "secret", _shaped(F.concat(canon, longer), digest))
         .otherwise(_shaped(canon, digest))
     )
 

@@ -318,6 +318,18 @@ def test_surrogates(spark, docs, none):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_surrogates_of_blank_forms_and_short_values(spark):
+    forms = ["Password: ________ now", "token=--------", "secret = '~~~~~~~~'"]
+    rows = list(enumerate([*forms, *[f"password=_______{k}" for k in range(10)]]))
+    got = by_id(pseudonymised(spark.createDataFrame(rows, "doc_id long, text string"), "k"))
+    assert [got[i].text for i in range(3)] == forms and all(got[i].pii_count == 0 for i in range(3))
+    made = {got[i].text for i in range(3, 13)}
+    assert len(made) == 10 and not made & {t for _, t in rows}
+    mail = spark.range(676).select(F.lit("email").alias("kind"), F.concat(F.char(97 + F.col("id") % 26), F.lit("@"), F.char(97 + F.floor(F.col("id") / 26)), F.lit(".com")).alias("canon"))
+    mail = mail.union(mail.select("kind", F.regexp_replace("canon", "com$", "org")))
+    assert len({r.made for r in entity_surrogates(mail, "k").collect()}) == 1352
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(6)
     x = rng.normal(size=(400, 64))
