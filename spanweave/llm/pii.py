@@ -152,7 +152,8 @@ def entity_surrogates(entities: DataFrame, key: str, tries: int = 30) -> DataFra
     for _ in range(tries):
         made = kept(e.select("kind", "canon", "attempt", surrogate(F.col("kind"), F.col("canon"), F.col("attempt"), key).alias("made")), "surrogates")
         twice = made.groupBy("kind", "made").agg(F.min("canon").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-        real = e.select("kind", F.col("canon").alias("made"), F.lit(None).cast("string").alias("first"))
+        own = F.when(F.col("kind") == "name", F.substring("canon", 3, 1 << 30)).otherwise(F.col("canon"))  # without the gender
+        real = e.select("kind", own.alias("made"), F.lit(None).cast("string").alias("first"))
         real = made.select("kind", "made").distinct().join(real, ["kind", "made"])
         bad = kept(twice.select("kind", "made", "first").union(real).groupBy("kind", "made").agg(F.min(F.coalesce("first", F.lit(""))).alias("first")), "collisions")
         if bad.isEmpty():

@@ -330,6 +330,14 @@ def test_surrogates_of_blank_forms_and_short_values(spark):
     assert len({r.made for r in entity_surrogates(mail, "k").collect()}) == 1352
 
 
+def test_surrogate_names_are_nobodys(spark):
+    one = spark.createDataFrame([("name", "m John Smith")], "kind string, canon string")
+    clash = entity_surrogates(one, "k").first().made
+    both = one.union(spark.createDataFrame([("name", "f " + clash)], one.schema))
+    made = {r.canon: r.made for r in entity_surrogates(both, "k").collect()}
+    assert clash not in made.values() and len(set(made.values())) == 2
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(6)
     x = rng.normal(size=(400, 64))
