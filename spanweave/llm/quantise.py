@@ -141,8 +141,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98, sample: int = 20_000,
     lies within the limit plus `slack`, and what they keep is confirmed by exact cosine.
 
     A pair is found from either side. A null label, a null, empty or zero vector, or one with a null or
-    non-finite component links with nothing. Vectors of other lengths than the most frequent one are
-    compared among themselves only if equal. Repeated rows each return a row. An empty table returns no
+    non-finite component links with nothing. Each length of vectors has an index of its own; below 64
+    components the margin grows, as fewer directions share the difference. Repeated rows each return a row. An empty table returns no
     rows; other columns are ignored.
     """
     spark = vectors.sparkSession
@@ -151,20 +151,17 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98, sample: int = 20_000,
     fine = F.coalesce(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.size("x") > 0) & F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists("x", lambda c: c != 0), F.lit(False))
     good = v.where(fine).withColumn("fp", F.sha2(F.array_join(F.transform("x", lambda c: (c + 0.0).cast("string")), ","), 256))
     classes = kept(good.groupBy("label", "fp").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("x").alias("x")), "vector_classes")
-    usual = classes.groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    total = usual["count"] if usual else 0
-    same = classes.where(F.size("x") == (usual["d"] if usual else 0))
-    some = same.orderBy(F.xxhash64("rep"), "rep").limit(sample).select("x").toArrow()["x"].to_pylist()
-    no = spark.createDataFrame([], "a long, b long")
-    links = no
-    if some:
-        x = np.array(some)
+    links = spark.createDataFrame([], "a long, b long")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for d, total in classes.groupBy(F.size("x").alias("d")).count().where("count > 1").orderBy(F.desc("count"), "d").collect():
+        same = classes.where(F.size("x") == d)
+        x = np.array(same.orderBy(F.xxhash64("rep"), "rep").limit(sample).select("x").toArrow()["x"].to_pylist())
         x /= np.linalg.norm(x, axis=1, keepdims=True)
         index = spark.sparkContext.broadcast(Index(x, max(1, min(2048, total // 64, len(x) // 4))))
-        cells = same.select("label", "rep", "x").mapInArrow(_lister(index, margin), "label string, list int, asks boolean, rep long, code binary, x array<double>")
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        wide = max(margin, min(margin * np.sqrt(64 / d), np.sqrt(2 - 2 * cosine)))
+        cells = same.select("label", "rep", "x").mapInArrow(_lister(index, wide), "label string, list int, asks boolean, rep long, code binary, x array<double>")
         near = cells.repartition(parts, "label", "list").sortWithinPartitions("label", "list", "asks").mapInArrow(_searcher(index, cosine, slack), "a long, b long")
-        links = kept(near.distinct(), "vector_links")
+        links = links.union(kept(near.distinct(), "vector_links"))
     ends = links.union(links.select("b", "a")).toDF("rep", "other")
     sizes = classes.select(F.col("rep").alias("other"), "n")
     more = ends.join(sizes, "other").groupBy("rep").agg(F.sum("n").alias("more"))

@@ -360,6 +360,16 @@ def test_vectors(spark):
     assert near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
 
+def test_vectors_of_several_lengths(spark):
+    x = np.random.default_rng(7).normal(size=(60, 64))
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    rows += [(100 + i, (v[:8] + [0, 0.01][i % 2]).tolist(), 0) for i, v in enumerate(np.repeat(x[:10], 2, axis=0))] + [(200, [1.0, 2.0], 0), (201, [1.0, 2.1], 0), (202, [1.0, 2.1], 1), (203, [3.0], 0)]
+    got = by_id(near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")))
+    assert all(got[100 + i].n_links >= 1 and got[100 + i].component_id <= 100 + i - i % 2 for i in range(20))
+    assert [(got[i].n_links, got[i].component_id) for i in (200, 201, 202, 203)] == [(1, 200), (1, 200), (0, 202), (0, 203)]
+    assert all(got[i].n_links == 0 for i in range(60))
+
+
 def test_languages(spark, docs, none):
     rows = [(i, " ".join(np.random.default_rng(i).choice(["the", "of", "and", "think"] if i % 2 else ["der", "und", "nicht", "schön"], 30)), "en" if i % 2 else "de") for i in range(120)]
     rows += [(500, None, "en"), (501, "123 ... !!", "de"), (502, "", None)]
