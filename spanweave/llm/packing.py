@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import os
 import re
 import zlib
 from array import array
@@ -32,10 +33,13 @@ class WordEncoder:
     see differently.
     """
 
-    def __init__(self, path: str, cache: int = 400_000):
+    RUN = 20_000
+
+    def __init__(self, path: str, cache: int = 100_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task has one core, and threads keep memory of their own
         from tokenizers import Tokenizer
 
-        self.lib, self.known, self.cache = Tokenizer.from_file(path), {}, cache
+        self.lib, self.known, self.older, self.cache = Tokenizer.from_file(path), {}, {}, cache
         self.shown = {b: c for c, b in visible_bytes().items()}
         self.lib.no_truncation()
         self.lib.no_padding()
@@ -65,20 +69,49 @@ class WordEncoder:
         for c, e in zip(other, self.lib.encode_batch(other, add_special_tokens=False), strict=True):
             known[c] = np.array(e.ids, "<u4").tobytes()
 
+    def meet(self, words: set[str]) -> None:
+        """Makes the words known. A full table first becomes the older one, of which a word that is met again is
+        taken over: 2 * cache words and those of two calls are known at most."""
+        if len(self.known) > self.cache:
+            self.older, self.known = self.known, {}
+        new = words.difference(self.known)
+        again = new.intersection(self.older)
+        self.known.update((w, self.older[w]) for w in again)
+        if new := new.difference(again):
+            gc.disable()  # it would walk the new tuples again and again
+            self.learn(list(new))
+            gc.enable()
+
+    def looked_up(self, words: list[str]) -> bytes:
+        """Ids of words in order, RUN words at a time, so that no text however long outgrows the table."""
+        out = []
+        for lo in range(0, len(words), self.RUN):
+            part = words[lo : lo + self.RUN]
+            self.meet(set(part))
+            out.append(b"".join(map(self.known.__getitem__, part)))
+        return b"".join(out)
+
     def encode(self, texts: list[str | None]):
-        for lo in range(0, len(texts), 1024):
-            part = [t or "" for t in texts[lo : lo + 1024]]
-            if len(self.known) > self.cache:
-                self.known.clear()
-            chunks = [None if _ODD_SPACE.search(t) else t.split() for t in part]
-            new = set().union(*(ws for ws in chunks if ws)).difference(self.known)
-            if new:
-                gc.disable()  # it would walk the new tuples again and again
-                self.learn(list(new))
-                gc.enable()
-            known = self.known.__getitem__
-            for t, ws in zip(part, chunks, strict=True):
-                yield b"".join(map(known, ws)) if ws is not None else self.whole(t)
+        """Each text's ids; short texts are looked up together, about RUN words at a time."""
+        ready: list[tuple[list[str] | None, str]] = []
+        size = 0
+        for t in texts:
+            t = t or ""
+            words = None if _ODD_SPACE.search(t) else t.split()
+            ready.append((words, t))
+            size += len(words or ())
+            if size >= self.RUN or len(ready) == 256:
+                yield from self._encoded(ready)
+                ready, size = [], 0
+        yield from self._encoded(ready)
+
+    def _encoded(self, ready: list[tuple[list[str] | None, str]]):
+        short = [w for w, _ in ready if w is not None and len(w) < self.RUN]
+        self.meet(set().union(*short))
+        known = self.known.__getitem__
+        done = [b"".join(map(known, w)) if w is not None and len(w) < self.RUN else None for w, _ in ready]
+        for ids, (w, t) in zip(done, ready, strict=True):
+            yield ids if ids is not None else self.whole(t) if w is None else self.looked_up(w)
 
 
 @lru_cache(maxsize=2)
