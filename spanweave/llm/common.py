@@ -139,11 +139,13 @@ def checked(df: DataFrame, **need: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all machines share: spark.checkpoint.dir; where unset, as in tests, one of our own."""
+    """The folder that all machines share: spark.checkpoint.dir. Where it is unset, one machine's own folder serves
+    a local session; a cluster has to name one, for its machines could not read each other's."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: tables between steps need a folder that all machines share")
         at = tempfile.gettempdir() + f"/spanweave-{os.getpid()}"
-        spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
 
 
@@ -162,11 +164,12 @@ def kept(df: DataFrame, name: str, release: bool = False) -> DataFrame:
     return out
 
 
-def forget(df: DataFrame) -> None:
-    """Removes a table made by kept() that nothing needs any more."""
-    jvm = df.sparkSession.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(df.written_at)
-    path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+def forget(*tables: DataFrame) -> None:
+    """Removes tables made by kept() that nothing needs any more, not even the next step's retries."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.written_at)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def fields(spec: str) -> T.StructType:
