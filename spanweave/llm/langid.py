@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BYTE, checked, mix, packed, pieces, span_hash, word_spans
+from .common import _BYTE, WORD, checked, mix, packed, pieces, span_hash, word_spans
 
 SPACE = 1 << 18
 BLOCK_BYTES = 3 << 20
@@ -67,30 +67,49 @@ class ChainCRF:
             out[lo : lo + 20_000] = np.add.reduceat(self.w[f], at, axis=0)
         return out
 
-    def marginals(self, e: np.ndarray, active: np.ndarray) -> np.ndarray:
-        """Label marginals of many sequences at once. e holds time step after time step, and in each the
-        active[t] longest sequences, in one order; each step is scaled to sum to one."""
+    def chain(self, e: np.ndarray, active: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Forward and backward messages of many sequences at once, emission and transition potentials.
+
+        e holds time step after time step, and in each the active[t] longest sequences, in one order; each
+        message is scaled to sum to one.
+        """
         begin = np.concatenate([[0], np.cumsum(active)])
         psi = np.exp(e - e.max(axis=1, keepdims=True)).astype(np.float64)
         step = np.exp(self.trans - self.trans.max())
-        fwd = np.empty(psi.shape)
+        fwd, back = np.empty(psi.shape), np.ones(psi.shape)
         for t in range(len(active)):
             a, z = begin[t], begin[t + 1]
             f = psi[a:z] if t == 0 else (fwd[begin[t - 1] : begin[t - 1] + z - a] @ step) * psi[a:z]
             fwd[a:z] = f / f.sum(axis=1, keepdims=True)
-        back = np.ones((0, e.shape[1]))
-        for t in range(len(active) - 1, -1, -1):
-            a, z = begin[t], begin[t + 1]
-            full = np.ones((z - a, e.shape[1]))
-            if len(back):
-                full[: len(back)] = (back * psi[begin[t + 1] : begin[t + 1] + len(back)]) @ step.T
-                full /= full.sum(axis=1, keepdims=True)
-            m = fwd[a:z] * full
-            fwd[a:z] = m / m.sum(axis=1, keepdims=True)
-            back = full
-        return fwd
-
-    def fit(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, sequences: np.ndarray, y: np.ndarray, epochs: int = 5, rate: float = 0.3) -> ChainCRF:
+        for t in range(len(active) - 2, -1, -1):
+            a, n, nxt = begin[t], active[t + 1], begin[t + 1]
+            b = (back[nxt : nxt + n] * psi[nxt : nxt + n]) @ step.T
+            back[a : a + n] = b / b.sum(axis=1, keepdims=True)
+        return fwd, back, psi, step
+
+    def marginals(self, e: np.ndarray, active: np.ndarray) -> np.ndarray:
+        """Label marginals of many sequences at once, laid out as in chain()."""
+        fwd, back, _, _ = self.chain(e, active)
+        fwd *= back
+        return fwd / fwd.sum(axis=1, keepdims=True)
+
+    @staticmethod
+    def pair_posteriors(fwd: np.ndarray, back: np.ndarray, psi: np.ndarray, step: np.ndarray, length: int) -> np.ndarray:
+        """P(label here, label next) for each place but the last, of sequences of one length: forward message,
+        transition, next emission, next backward message, scaled to sum to one."""
+        rows = len(fwd) // length
+        shape = (length, rows, fwd.shape[1])
+        ahead = (psi * back).reshape(shape)[1:]
+        pair = fwd.reshape(shape)[:-1, :, :, None] * step * ahead[:, :, None, :]
+        return pair / pair.sum(axis=(2, 3), keepdims=True)
+
+    def transition_gradient(self, chain: tuple, gold: np.ndarray) -> np.ndarray:
+        """Expected less seen transitions, by label here and next; gold has a row for each time step."""
+        out = self.pair_posteriors(*chain, len(gold)).sum(axis=(0, 1))
+        np.subtract.at(out, (gold[:-1].ravel(), gold[1:].ravel()), 1)
+        return out
+
+    def fit(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, sequences: np.ndarray, y: np.ndarray, epochs: int = 4, rate: float = 0.3) -> ChainCRF:
         """Adagrad on the negative log-likelihood of sequences (rows of word numbers) with labels y, all of one length."""
         h = span_hash(raw, starts, ends)
         _, uniq, back = np.unique(h, return_index=True, return_inverse=True)
@@ -110,9 +129,10 @@ class ChainCRF:
                 e = np.add.reduceat(self.w[own], first, axis=0)
                 steps = np.ascontiguousarray(inv.T)
                 psi = e[steps.ravel()]
-                m = self.marginals(psi, np.full(length, len(rows)))
+                chain = self.chain(psi, np.full(length, len(rows)))
                 gold = np.ascontiguousarray(y[rows].T)
-                d = m.copy()
+                d = chain[0] * chain[1]
+                d /= d.sum(axis=1, keepdims=True)
                 d[np.arange(d.shape[0]), gold.ravel()] -= 1
                 dword = np.stack([np.bincount(steps.ravel(), d[:, k], len(words)) for k in range(n)], axis=1) / 16
                 feats, place = np.unique(own, return_inverse=True)
@@ -120,13 +140,7 @@ class ChainCRF:
                 dw = np.stack([np.bincount(place, dword[of, k], len(feats)) for k in range(n)], axis=1) + 1e-4 * self.w[feats]
                 gw[feats] += dw**2
                 self.w[feats] -= rate * dw / np.sqrt(gw[feats])
-                # expected less seen transitions, from neighbouring marginals
-                mt, step = m.reshape(length, len(rows), n), np.exp(self.trans - self.trans.max())
-                pair = mt[:-1, :, :, None] * step[None, None] * mt[1:, :, None, :]
-                pair /= pair.sum(axis=(2, 3), keepdims=True)
-                dt = pair.sum(axis=(0, 1))
-                np.subtract.at(dt, (gold[:-1].ravel(), gold[1:].ravel()), 1)
-                dt = dt / 64 + 1e-3 * self.trans
+                dt = self.transition_gradient(chain, gold) / 64 + 1e-3 * self.trans
                 gt += dt**2
                 self.trans -= rate * dt / np.sqrt(gt)
         return self
@@ -163,17 +177,15 @@ def _parts(low: np.ndarray, starts: np.ndarray, ends: np.ndarray):
         i = j
 
 
-def _sampled(batches):
-    """Segments of SEGMENT words from all over each training text, at places that its own bytes fix."""
+def _segments(batches):
+    """Every text in consecutive segments of SEGMENT words; the last may be shorter."""
     for b in batches:
         langs, seqs = [], []
         for lang, text in zip(b["lang"].to_pylist(), b["text"].to_pylist(), strict=True):
-            words = (text or "").translate(_LOWER).split()
-            for k in range(0, 4):
-                if len(words) >= 4:
-                    at = int(mix(np.array([len(text) * 31 + k], np.uint64))[0] % np.uint64(max(1, len(words) - SEGMENT)))
-                    langs.append(lang)
-                    seqs.append(words[at : at + SEGMENT])
+            words = WORD.findall((text or "").translate(_LOWER))
+            for at in range(0, len(words), SEGMENT):
+                langs.append(lang)
+                seqs.append(words[at : at + SEGMENT])
         yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(seqs, pa.list_(pa.string()))], ["lang", "words"])
 
 
@@ -181,15 +193,17 @@ SEGMENT = 24
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
-def trained(train: DataFrame, bound: int = 4_000, lexicon_size: int = 6_000) -> ChainCRF:
-    """The field learned from (doc_id, lang, text) rows: at most `bound` of them, whose hashed ids are least.
+def trained(train: DataFrame, bound: int = 2_000, segments: int = 24_000, lexicon_size: int = 6_000) -> ChainCRF:
+    """The field learned from (doc_id, lang, text) rows: those of at most `bound` ids, whose hashes are least.
 
-    Each gives four segments of 24 words, labelled with its language; an eighth as many more are put together
-    from halves of two, so that transitions learn of switches. The lexicon holds the segments' most frequent
-    words. No rows: one label und.
+    Their whole texts are cut into segments of 24 words, labelled with their language; at most `segments` of
+    these, again of least hash, are learned from, which bounds the driver's memory however long texts are or
+    often an id repeats. An eighth as many more are put together from halves of two, so that transitions
+    learn of switches. The lexicon holds the segments' most frequent words. No rows: one label und.
     """
-    some = train.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-    got = train.join(F.broadcast(some), "doc_id").select("lang", "text").mapInArrow(_sampled, "lang string, words array<string>").toArrow()
+    some = train.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+    cut = train.join(F.broadcast(some), "doc_id").select("lang", "text").mapInArrow(_segments, "lang string, words array<string>")
+    got = cut.orderBy(F.xxhash64("words"), "lang", "words").limit(segments).toArrow()
     rows = sorted(zip(got["lang"].to_pylist(), got["words"].to_pylist(), strict=True))
     if not rows:
         return ChainCRF(["und"], np.zeros(0, np.uint64))
@@ -211,18 +225,19 @@ def trained(train: DataFrame, bound: int = 4_000, lexicon_size: int = 6_000) ->
     return ChainCRF(labels, lexicon).fit(buf, starts, ends, np.arange(len(raw)).reshape(-1, SEGMENT), np.array(y))
 
 
-def languages(docs: DataFrame, folds: int = 3, held: int = 1, bound: int = 4_000, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, lang_pred, score of every whole text.
+def languages(docs: DataFrame, folds: int = 3, held: int = 1, bound: int = 2_000, segments: int = 24_000, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, held_out, lang_pred, score of every whole text, and chance, the score of a text that tells nothing.
 
-    Held out is crc32(id as text) mod folds = held; the field learns from at most `bound` other rows with a
-    language (see trained) on the driver. Every text is then labelled in one narrow pass: forward-backward
+    Held out is crc32(id as text) mod folds = held; the field learns from a bounded sample of the other rows
+    with a language (see trained) on the driver. Every text is then labelled in one narrow pass: forward-backward
     over all its words, its language the one whose marginals sum highest, its score their mean. Ties go to
     the first label in order. Null texts and those without a letter get `und` and score 0. A null language
-    is not learned from. Repeated rows each return a row; other columns are ignored.
+    is not learned from. A very long text is one sequence, labelled whole, in memory that follows its number
+    of words. Repeated rows each return a row; an empty table returns no rows; other columns are ignored.
     """
     d = checked(docs, doc_id=id_col, text=text_col, lang=lang_col)
     d = d.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string"), F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == held, F.lit(False)).alias("held_out"))
-    model = docs.sparkSession.sparkContext.broadcast(trained(d.where("not held_out and lang is not null and text is not null"), bound))
+    model = docs.sparkSession.sparkContext.broadcast(trained(d.where("not held_out and lang is not null and text is not null"), bound, segments))
 
     def run(batches):
         crf = model.value
@@ -235,10 +250,10 @@ def languages(docs: DataFrame, folds: int = 3, held: int = 1, bound: int = 4_000
                 pred[lo:hi] = sums.argmax(axis=1)
                 score[lo:hi] = np.where(counts > 0, sums.max(axis=1) / np.maximum(counts, 1), 0)
             names = [crf.labels[k] if ok else "und" for k, ok in zip(pred.tolist(), some.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], b["held_out"], pa.array(names, pa.string()), pa.array(np.where(some, np.clip(score, 0, 1), 0.0))], ["doc_id", "held_out", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["held_out"], pa.array(names, pa.string()), pa.array(np.where(some, np.clip(score, 0, 1), 0.0)), pa.array(np.full(b.num_rows, 1 / len(crf.labels)))], ["doc_id", "held_out", "lang_pred", "score", "chance"])
 
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters")
-    return d.select("doc_id", "held_out", "text", letters).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return d.select("doc_id", "held_out", "text", letters).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, chance double")
 
 
 def word_languages(docs: DataFrame, model: ChainCRF, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
