@@ -33,9 +33,9 @@ class WordEncoder:
     see differently.
     """
 
-    RUN = 20_000
+    RUN = 60_000
 
-    def __init__(self, path: str, cache: int = 100_000):
+    def __init__(self, path: str, cache: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task has one core, and threads keep memory of their own
         from tokenizers import Tokenizer
 
@@ -75,7 +75,7 @@ class WordEncoder:
         if len(self.known) > self.cache:
             self.older, self.known = self.known, {}
         new = words.difference(self.known)
-        again = new.intersection(self.older)
+        again = {w for w in new if w in self.older}
         self.known.update((w, self.older[w]) for w in again)
         if new := new.difference(again):
             gc.disable()  # it would walk the new tuples again and again
@@ -100,7 +100,7 @@ class WordEncoder:
             words = None if _ODD_SPACE.search(t) else t.split()
             ready.append((words, t))
             size += len(words or ())
-            if size >= self.RUN or len(ready) == 256:
+            if size >= self.RUN or len(ready) == 1024:
                 yield from self._encoded(ready)
                 ready, size = [], 0
         yield from self._encoded(ready)
