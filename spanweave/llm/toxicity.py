@@ -27,8 +27,9 @@ def terms(texts: pa.Array):
 class FactorizationMachine:
     """w0 + sum of w_i + sum over pairs of <v_i, v_j>, over the terms that a text holds, through a logistic."""
 
-    def __init__(self, factors: int = 6, rate: float = 0.3, decay: float = 2e-5, epochs: int = 12, least: float = 10.0, seed: int = 5):
-        self.factors, self.rate, self.decay, self.epochs, self.least, self.seed = factors, rate, decay, epochs, least, seed
+    def __init__(self, factors: int = 6, rate: float = 4.0, sparse: float = 4.0, pair_rate: float = 0.02, decay: float = 2e-5, epochs: int = 10, support: int = 4, seed: int = 5):
+        self.factors, self.rate, self.sparse, self.pair_rate, self.decay = factors, rate, sparse, pair_rate, decay
+        self.epochs, self.support, self.seed = epochs, support, seed
         self.known, self.w0, self.w, self.v = np.zeros(0, np.int64), 0.0, np.zeros(1), np.zeros((1, factors))
 
     def index(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -44,22 +45,21 @@ class FactorizationMachine:
         return self.w0 + np.bincount(row, self.w[k], n) + 0.5 * ((sums**2).sum(axis=1) - own), sums
 
     def fit(self, rows: list[np.ndarray], y: np.ndarray) -> FactorizationMachine:
-        """Adagrad on the logistic loss, over the terms that tell the classes apart.
+        """Logistic loss over all terms that at least `support` rows hold.
 
-        A term stays if its log-likelihood ratio with the label reaches `least`. No rows or one class: a constant.
+        Labels have no part in the choice of terms, so those that tell classes apart only in pairs stay, too.
+        Linear weights follow the regularised leader: a weight is zero until its summed gradient exceeds
+        `sparse`, which keeps the many terms without a say silent. Factors take Adagrad steps; they start the
+        smaller the more terms a row has, as their pairs are summed. No rows: a constant.
         """
         rng = np.random.default_rng(self.seed)
-        seen, back = np.unique(np.concatenate([*rows, np.zeros(0, np.int64)]), return_inverse=True)
-        n = np.bincount(back, minlength=len(seen)).astype(float)
-        k = np.bincount(back, np.repeat(y, [len(r) for r in rows]), len(seen))
-        all_n, all_k = max(len(y), 1), y.sum()
-        part = lambda a, b, c: np.where(a > 0, a * np.log(np.maximum(a, 1e-9) * all_n / np.maximum(b * c, 1e-9)), 0)
-        ratio = 2 * (part(k, n, all_k) + part(n - k, n, all_n - all_k) + part(all_k - k, all_n - n, all_k) + part(all_n - n - all_k + k, all_n - n, all_n - all_k))
-        self.known = seen[ratio >= self.least]
-        self.w, self.v = np.zeros(len(self.known)), rng.normal(0, 0.01, (len(self.known), self.factors))
+        seen, n = np.unique(np.concatenate([*rows, np.zeros(0, np.int64)]), return_counts=True)
+        self.known = seen[n >= self.support]
+        many = max(2.0, float(np.mean([len(r) for r in rows]))) if rows else 2.0
+        self.w, self.v = np.zeros(len(self.known)), rng.normal(0, 0.3 / np.sqrt(many), (len(self.known), self.factors))
         share = (y.sum() + 0.5) / (len(y) + 1)
         self.w0 = float(np.log(share / (1 - share)))
-        gw, gv, g0 = np.full(self.w.shape, 1e-6), np.full(self.v.shape, 1e-4), 1e-6
+        lead, gw, gv, g0 = np.zeros(self.w.shape), np.ones(self.w.shape), np.full(self.v.shape, 10.0), 1e-6
         for _ in range(self.epochs):
             order = rng.permutation(len(rows))
             for lo in range(0, len(order), 64):
@@ -68,15 +68,18 @@ class FactorizationMachine:
                 z, sums = self.raw(k, row, len(batch))
                 g = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[batch]
                 at, back = np.unique(k, return_inverse=True)
-                dw = np.bincount(back, g[row], len(at)) / 8 + self.decay * self.w[at]
+                dw = np.bincount(back, g[row], len(at))
                 pair = g[row, None] * (sums[row] - self.v[k])
                 dv = np.stack([np.bincount(back, pair[:, f], len(at)) for f in range(self.factors)], axis=1) / 8 + 10 * self.decay * self.v[at]
+                before = np.sqrt(gw[at])
                 gw[at] += dw**2
+                after = np.sqrt(gw[at])
+                lead[at] += dw - (after - before) / self.rate * self.w[at]
+                self.w[at] = -np.sign(lead[at]) * np.maximum(np.abs(lead[at]) - self.sparse, 0) / (after / self.rate + 100 * self.decay)
                 gv[at] += dv**2
+                self.v[at] -= self.pair_rate * dv / np.sqrt(gv[at])
                 g0 += (d0 := g.sum() / 8) ** 2
-                self.w[at] -= self.rate * dw / np.sqrt(gw[at])
-                self.v[at] -= 0.2 * self.rate * dv / np.sqrt(gv[at])
-                self.w0 -= 0.2 * self.rate * d0 / g0**0.5
+                self.w0 -= 0.06 * d0 / g0**0.5
         return self
 
     def score(self, rows: list[np.ndarray]) -> np.ndarray:
@@ -85,6 +88,7 @@ class FactorizationMachine:
 
 
 def _termer(batches):
+    """Labels and terms of whole texts; a row's terms are distinct, and hashing bounds their number."""
     for b in batches:
         yield pa.RecordBatch.from_arrays([b["y"], pa.array(list(terms(b["text"])), pa.list_(pa.int64()))], ["y", "terms"])
 
@@ -92,11 +96,14 @@ def _termer(batches):
 def toxicity_scores(docs: DataFrame, labels: DataFrame, bound: int = 16_000, folds: int = 5, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """doc_id, held_out, score, predicted of every whole text, learned from labels outside the held-out fold.
 
+    A text's score is that of the set of its terms, so repeats and order within it have no part.
+
     Held out is crc32(id as text) mod folds = 0. The machine is fitted on the driver on at most `bound`
     labelled rows, those whose hashed ids are least; scoring is one narrow pass with the fitted terms, whose
     number the bound limits. A null label is no label; where an id has several labels, the largest counts.
-    Null and empty texts get the score of no terms. Without labels all scores are one half. Repeated rows
-    each return a row. Other columns are ignored.
+    Null and empty texts get the score of no terms. Without labels all scores are one half; a score of one
+    half counts as 1. A very long text has one set of terms like any other. Repeated rows each return a row.
+    An empty table returns no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
     d = checked(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
@@ -104,7 +111,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, bound: int = 16_000, fol
     y = checked(labels, doc_id=id_col, y=label_col).where("y is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("y").cast("int")).alias("y"))
     y = y.join(d.select("doc_id").distinct(), "doc_id", "left_semi").where(~held)
     some = y.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-    got = d.join(F.broadcast(some), "doc_id").select("y", "text").mapInArrow(_termer, "y int, terms array<long>").toArrow()
+    rows = d.join(F.broadcast(some), "doc_id").dropDuplicates(["doc_id"])  # an id that repeats is learned from once
+    got = rows.select("y", "text").mapInArrow(_termer, "y int, terms array<long>").toArrow()
     rows = [np.asarray(r.values, np.int64) if r.values is not None else np.zeros(0, np.int64) for r in got["terms"]]
     order = sorted(range(len(rows)), key=lambda i: (rows[i].tobytes(), got["y"][i].as_py()))  # no matter how rows arrive
     machine = FactorizationMachine().fit([rows[i] for i in order], got["y"].to_numpy()[order].astype(np.float64))
