@@ -276,6 +276,47 @@ def test_passages_find_copies_beside_repeated_shingles():
     assert passages(mine[:30], 0, 29, theirs, 5, 50, 80) == []
 
 
+def test_repeats_are_passages_and_not_scattered_words(spark):
+    """Three pieces of a passage, apart from each other, are no copy of it; and they don't hide a true copy."""
+    passage = prose(60, 700).split()
+    pieces = [" ".join(passage[k : k + 20]) + " " + prose(60, 701 + k) for k in (0, 20, 40)]
+    small = [" ".join(passage[k : k + 12]) + " " + prose(400, 761 + k) for k in range(0, 60, 12)]
+    whole = " ".join(passage)
+    rows = [(1, " ".join(pieces)), (2, prose(30, 790) + " " + whole), (11, " ".join(small)), (12, whole + " " + prose(40, 791)), (13, prose(50, 792) + " " + whole)]
+    got = by_id(without_repeats(spark.createDataFrame(rows[:2], "doc_id long, text string")))
+    assert [got[i].dup_words for i in (1, 2)] == [0, 0]
+    got = by_id(without_repeats(spark.createDataFrame(rows[2:], "doc_id long, text string")))
+    assert [got[i].dup_words for i in (11, 12, 13)] == [0, 0, 60] and got[13].spans[0]["source"] == 12
+
+
+def test_repeats_against_brute_force(spark):
+    """Documents that hold 50 words like 50 words of an earlier one, by comparison of all stretches."""
+    rng = np.random.default_rng(12)
+    texts = [prose(int(rng.integers(60, 140)), 2000 + i) for i in range(24)]
+    for k in range(16):
+        own = texts[k].split()
+        n = int(rng.integers(50, 80))
+        at = int(rng.integers(0, max(1, len(own) - n)))
+        texts.append(prose(40, 2100 + k) + " " + edited(" ".join(own[at : at + n]), [0, 0.01, 0.02, 0.04][k % 4], 2200 + k) + " " + prose(30, 2300 + k))
+    stretches = [[frozenset(tuple(w[j : j + 5]) for j in range(i, i + 46)) for i in range(len(w) - 49)] for w in map(words, texts)]
+
+    def best(i):
+        return max((len(x & y) / len(x | y) for x in stretches[i] for k in range(i) for y in stretches[k]), default=0)
+
+    top = [best(i) for i in range(len(texts))]
+    got = by_id(without_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    want = {i for i, x in enumerate(top) if x >= 0.8}
+    found = {i for i, r in got.items() if r.dup_words}
+    assert len(want & found) >= 0.9 * len(want) >= 6 and all(top[i] >= 0.75 for i in found - want)
+
+
+def test_repeats_of_rows_that_share_an_id(spark):
+    a, b = prose(80, 810), prose(80, 811)
+    rows = [(1, a), (1, a), (2, a), (2, a), (3, b), (3, "short"), (None, a)]
+    got = sorted((r.doc_id or 0, r.dup_words) for r in without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(0, 0), (1, 0), (1, 0), (2, 80), (2, 80), (3, 0), (3, 0)]
+
+
 def test_repeats(docs, none):
     got = by_id(without_repeats(docs))
     assert got[0].text is None and got[1].text == "" and got[6].text == BASE
