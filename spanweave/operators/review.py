@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,19 +14,6 @@ def with_category(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.join(labels, "doc_id", "left").select("doc_id", name.alias("category"))
 
 
-def cascade(docs: DataFrame) -> DataFrame:
-    """The first rule that holds decides."""
-    text = F.col("text")
-    rule = (
-        F.when(text.isNull() | (F.trim(text) == ""), "empty")
-        .when(F.length(text) < 100, "short")
-        .when(text.rlike(r"[0-9]{4}"), "digits")
-        .when(text.rlike(r"(?i)licensed|rights reserved"), "boilerplate")
-        .otherwise("keep")
-    )
-    return docs.select("doc_id", rule.alias("decision"))
-
-
 def ledger(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Records by language and status."""
     status = F.when(F.col("toxic") == 1, "rejected").when(F.col("toxic") == 0, "accepted").otherwise("pending")
@@ -39,10 +28,10 @@ def overlaid(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def audited(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """How many keys are in both, or in one side only."""
-    a, b = left.select(key).distinct().withColumn("l", F.lit(1)), right.select(key).distinct().withColumn("r", F.lit(1))
+    """How many keys are in both, or in one side only, and how many of them some side has more than once."""
+    a, b = left.groupBy(key).agg(F.count("*").alias("l")), right.groupBy(key).agg(F.count("*").alias("r"))
     side = F.when(F.col("r").isNull(), "left_only").when(F.col("l").isNull(), "right_only").otherwise("both")
-    return a.join(b, key, "full").groupBy(side.alias("side")).agg(F.count("*").alias("n"))
+    return a.join(b, key, "full").groupBy(side.alias("side")).agg(F.count("*").alias("n"), F.count_if((F.col("l") > 1) | (F.col("r") > 1)).alias("repeated"))
 
 
 def fingerprint(docs: DataFrame, block: int = 1000) -> DataFrame:
@@ -52,6 +41,15 @@ def fingerprint(docs: DataFrame, block: int = 1000) -> DataFrame:
     return docs.groupBy(F.floor(F.col("doc_id") / block).cast("long").alias("block")).agg(F.sha2(lines, 256).alias("digest"), F.count("*").alias("n"))
 
 
+def whole_fingerprint(rows: DataFrame, order: list[str], id_col: str, text_col: str) -> str:
+    """One SHA-256 over id, zero byte, text and zero byte of all rows in order. Such a digest can only be made in
+    sequence; rows are sorted on the cluster and pass the driver one partition at a time."""
+    digest = hashlib.sha256()
+    for r in rows.orderBy(*order).select(F.col(id_col).cast("string"), F.coalesce(text_col, F.lit(""))).toLocalIterator():
+        digest.update(r[0].encode() + b"\0" + r[1].encode() + b"\0")
+    return digest.hexdigest()
+
+
 def charges(orders: DataFrame) -> DataFrame:
     return orders.groupBy(F.col("o_orderstatus").alias("state")).agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("amount"))
 

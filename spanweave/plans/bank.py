@@ -2,31 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import stable_key
+from ..functions import language, masks
 from ..functions.captions import parsed
-from ..operators import packets, review, tracks, units
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def _query(sql: str | None = None):
-    def add(f: Callable) -> Callable:
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return f(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
-
-        QUERIES[f.__name__] = run
-        if sql:
-            ORACLE[f.__name__] = sql
-        return run
-
-    return add
-
+from ..functions.text import stable_key
+from ..operators import packets, refine, release, review, tracks, units
+from . import nested  # noqa: F401  registers its queries, too
+from .registry import ORACLE, QUERIES  # noqa: F401  what the driver asks for
+from .registry import query as _query
 
 _SIGNS = "list_transform(embedding, lambda v: CASE WHEN v > 0 THEN 1 ELSE 0 END)"
 _RUNS = f"""WITH px AS (SELECT vec_id, unnest(range(len(embedding))) AS i, unnest({_SIGNS}) AS b FROM embeddings),
@@ -66,9 +50,10 @@ def stable_suggestion_rank(t):
     return units.stable_rank(t("conversations").select("conv_id", "turn").distinct(), "conv_id", "review", F.col("conv_id"), F.col("turn"))
 
 
-@_query("SELECT user_id, count(*) AS n, CAST(count(*) >= 5 AS INTEGER) + CAST(count(*) >= 10 AS INTEGER) + CAST(count(*) >= 20 AS INTEGER) AS bin FROM events GROUP BY user_id")
+@_query("SELECT user_id, count(DISTINCT event_id % 17) AS n, CASE WHEN count(DISTINCT event_id % 17) <= 2 THEN '0–2' WHEN count(DISTINCT event_id % 17) <= 5 THEN '3–5' WHEN count(DISTINCT event_id % 17) <= 12 THEN '6–12' ELSE '13+' END AS bin FROM events GROUP BY user_id")
 def density_bins(t):
-    return units.density_bins(t("events"), "user_id", [5, 10, 20])
+    n = F.count_distinct(F.col("event_id") % 17)
+    return t("events").groupBy("user_id").agg(n.alias("n")).withColumn("bin", release.density(F.col("n")))
 
 
 @_query("SELECT event_id, event_type, rank FROM (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY sha256('sample:' || event_id), event_id) AS rank FROM events) WHERE rank <= 20")
@@ -82,7 +67,8 @@ def prompt_grouping(t):
     return e.groupBy("user_id").agg(F.array_join(F.sort_array(F.collect_list("event_type")), ",").alias("prompts"), F.count("*").alias("n"))
 
 
-_TRACKS = "SELECT user_id, event_type, count(*) AS present, round(avg(value), 4) AS confidence, round(max(value), 4) AS max_confidence FROM events GROUP BY user_id, event_type"
+_TRACKS = """SELECT user_id, event_type, count(*) AS present, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS confidence, max(value) AS max_confidence,
+CAST(least(64, sum(CAST(floor(value) AS BIGINT))) AS BIGINT) AS pixels FROM events GROUP BY user_id, event_type"""
 
 
 @_query(_TRACKS)
@@ -90,9 +76,13 @@ def track_assembly(t):
     return tracks.assembled(t("events"))
 
 
-@_query(f"SELECT * FROM ({_TRACKS}) WHERE present >= 2 AND confidence >= 10")
+@_query(f"""WITH f AS (SELECT user_id, count(*) AS n FROM events GROUP BY user_id), t AS ({_TRACKS}), m AS (SELECT *, CASE WHEN n <= 4 THEN 1 ELSE greatest(2, (n + 19) // 20) END AS least_frames FROM t JOIN f USING (user_id))
+SELECT user_id, event_type, CASE WHEN present < least_frames THEN 'present_frames<' || least_frames WHEN pixels < 64 THEN 'total_pixels<64' WHEN max_confidence / 100 < 0.55 OR confidence / 100 < 0.45 THEN 'confidence_below_threshold' ELSE 'retained' END AS reason FROM m""")
 def track_quality_filter(t):
-    return tracks.usable(tracks.assembled(t("events")), 2, 10)
+    e = t("events")
+    frames = e.groupBy("user_id").agg(F.count("*").alias("frames"))
+    j = tracks.assembled(e).join(frames, "user_id")
+    return j.select("user_id", "event_type", tracks.judged(F.col("frames"), F.col("present"), F.col("pixels"), F.col("max_confidence") / 100, F.col("confidence") / 100).alias("reason"))
 
 
 @_query(f"{_RUNS} SELECT vec_id, first, length FROM runs WHERE b = 1")
@@ -106,14 +96,13 @@ def rle_decode_area(t):
     return tracks.encoded(t("embeddings"))
 
 
-_BITS = "CAST(list_sum(list_transform(range(63), lambda i: CASE WHEN embedding[i + 1] > 0 THEN CAST(1 AS HUGEINT) << CAST(i AS INTEGER) ELSE 0 END)) AS BIGINT)"
+_SUM = "list_sum(list_transform(range(len(embedding)), lambda i: CASE WHEN embedding[i + 1] > 0 THEN CAST(1 AS HUGEINT) << CAST(i AS INTEGER) ELSE 0 END))"
+_BITS = f"CAST(CASE WHEN {_SUM} >= 9223372036854775808 THEN {_SUM} - 18446744073709551616 ELSE {_SUM} END AS BIGINT)"
 
 
-@_query(f"SELECT vec_id, {_BITS} AS bits FROM embeddings")
+@_query(f"SELECT vec_id, CAST({_BITS} AS VARCHAR) AS bits FROM embeddings")
 def bitplane_pack(t):
-    from ..functions.masks import sign_bits
-
-    return t("embeddings").select("vec_id", sign_bits(F.col("embedding")).alias("bits"))
+    return t("embeddings").select("vec_id", F.array_join(masks.sign_words(F.col("embedding")).cast("array<string>"), ",").alias("bits"))
 
 
 @_query(f"""WITH m AS (SELECT vec_id // 16 AS video, vec_id, {_BITS} AS bits FROM embeddings)
@@ -123,18 +112,31 @@ def mask_volume_iou(t):
     return tracks.overlaps(t("embeddings"), 16, 0.4)
 
 
-@_query(r"""SELECT doc_id, coalesce(regexp_matches(text, '(^|[^A-Za-z])(the|der|la|le)([^A-Za-z]|$)'), false) AS has_article, coalesce(regexp_matches(text, '[0-9]'), false) AS has_digit,
-coalesce(text LIKE '%|%', false) AS has_table FROM documents""")
+_PHRASE = """(SELECT doc_id, pre || text AS text, CAST(length(pre) AS INT) AS start, CAST(length(pre) + 3 AS INT) AS stop, head FROM (SELECT doc_id, coalesce(text, '') AS text,
+['far from the ', 'the camera view ', 'of the family ', 'he said "', '“so ', 'driven like a ', 'it is widely  used for ', 'Used As a ', 'plain '][1 + doc_id % 9] AS pre, ['camera', 'thing', 'race', 'dog', 'screen', 'ball'][1 + (doc_id // 9) % 6] AS head FROM documents))"""
+_RULES = f"""SELECT doc_id, head, regexp_matches(lower(substr(text, greatest(start - 48, 0) + 1, least(stop + 24, length(text)) - greatest(start - 48, 0))), '(away|distance|far|furthest|closest|nearer|toward|from)\\s+(the\\s+)?camera|camera\\s+(view|frame|position)') AS viewpoint,
+regexp_matches(lower(substr(text, greatest(start - 28, 0) + 1, stop - greatest(start - 28, 0))), '\\b(family|genus|order|species)\\b') AS taxonomic,
+(length(substr(text, 1, start)) - length(replace(substr(text, 1, start), '"', ''))) % 2 = 1 OR (length(substr(text, 1, stop)) - length(replace(substr(text, 1, stop), '"', ''))) % 2 = 1
+OR length(replace(substr(text, 1, start), '“', '')) < length(replace(substr(text, 1, start), '”', '')) OR length(replace(substr(text, 1, stop), '“', '')) < length(replace(substr(text, 1, stop), '”', '')) AS quoted,
+regexp_matches(lower(substr(text, greatest(start - 18, 0) + 1, start - greatest(start - 18, 0))), '\\b(like|as)\\s+(an?\\s+)?$') AS compared, regexp_matches(substr(text, 1, start), '(?i)\\bwidely\\s+used\\s+for\\b|\\bused\\s+as\\b') AS defined FROM {_PHRASE}""".replace("\\\\", "\\")
+
+
+def _phrases(t):
+    pre = F.get(F.array(*map(F.lit, ["far from the ", "the camera view ", "of the family ", 'he said "', "“so ", "driven like a ", "it is widely  used for ", "Used As a ", "plain "])), (F.col("doc_id") % 9).cast("int"))
+    head = F.get(F.array(*map(F.lit, ["camera", "thing", "race", "dog", "screen", "ball"])), (F.floor(F.col("doc_id") / 9) % 6).cast("int"))
+    return t("documents").select("doc_id", F.concat(pre, F.coalesce("text", F.lit(""))).alias("text"), F.length(pre).alias("start"), (F.length(pre) + 3).alias("stop"), head.alias("head"))
+
+
+@_query(_RULES)
 def context_predicates(t):
-    text = F.col("text")
-    flag = lambda c, name: F.coalesce(c, F.lit(False)).alias(name)
-    return t("documents").select("doc_id", flag(text.rlike("(^|[^A-Za-z])(the|der|la|le)([^A-Za-z]|$)"), "has_article"), flag(text.rlike("[0-9]"), "has_digit"), flag(text.contains("|"), "has_table"))
+    x, a, z = F.col("text"), F.col("start"), F.col("stop")
+    return _phrases(t).select("doc_id", "head", language.viewpoint_camera(x, a, z).alias("viewpoint"), language.taxonomic(x, a, z).alias("taxonomic"), language.quoted(x, a, z).alias("quoted"), language.compared(x, a).alias("compared"), language.defined(x, a).alias("defined"))
 
 
-@_query("""SELECT doc_id, CASE WHEN text IS NULL OR trim(text) = '' THEN 'empty' WHEN length(text) < 100 THEN 'short' WHEN regexp_matches(text, '[0-9]{4}') THEN 'digits'
-WHEN regexp_matches(text, '(?i)licensed|rights reserved') THEN 'boilerplate' ELSE 'keep' END AS decision FROM documents""")
+@_query(f"""SELECT doc_id, CASE WHEN head IN ('object', 'something', 'stuff', 'thing') THEN 'ignore_special_unsafe_generic' WHEN head IN ('race', 'screen') THEN 'ignore_nonvisual_or_meta' WHEN head = 'camera' AND viewpoint THEN 'ignore_viewpoint_camera'
+WHEN taxonomic THEN 'ignore_taxonomic_concept' WHEN quoted THEN 'ignore_quoted_title' WHEN compared THEN 'ignore_comparison_concept' WHEN defined THEN 'ignore_generic_definition' ELSE 'prompt_sam3.1' END AS decision FROM ({_RULES})""")
 def decision_cascade(t):
-    return review.cascade(t("documents"))
+    return _phrases(t).select("doc_id", language.decision(F.col("text"), F.col("start"), F.col("stop"), F.col("head")).alias("decision"))
 
 
 @_query("SELECT lang, CASE WHEN toxic = 1 THEN 'rejected' WHEN toxic = 0 THEN 'accepted' ELSE 'pending' END AS status, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY 1, 2")
@@ -190,9 +192,10 @@ def variant_stats(t):
     return review.published(t("documents"), t("labels")).groupBy("variant", "dataset").agg(F.count("*").alias("n"), F.sum("caption_length").alias("length"))
 
 
-@_query("SELECT CASE WHEN l.doc_id IS NULL THEN 'left_only' WHEN d.doc_id IS NULL THEN 'right_only' ELSE 'both' END AS side, count(*) AS n FROM (SELECT DISTINCT doc_id FROM documents) d FULL JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id GROUP BY 1")
+@_query("""WITH d AS (SELECT doc_id, count(*) AS n FROM documents GROUP BY 1), l AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id FROM labels UNION ALL SELECT doc_id FROM labels WHERE doc_id % 7 = 0) GROUP BY 1)
+SELECT CASE WHEN l.doc_id IS NULL THEN 'left_only' WHEN d.doc_id IS NULL THEN 'right_only' ELSE 'both' END AS side, count(*) AS n, count(*) FILTER (WHERE coalesce(d.n, 0) > 1 OR coalesce(l.n, 0) > 1) AS repeated FROM d FULL JOIN l ON d.doc_id = l.doc_id GROUP BY 1""")
 def coverage_audit(t):
-    return review.audited(t("documents"), t("labels"), "doc_id")
+    return review.audited(t("documents"), t("labels").union(t("labels").where("doc_id % 7 = 0")), "doc_id")
 
 
 @_query("SELECT doc_id // 1000 AS block, sha256(string_agg(doc_id || chr(0) || coalesce(text, ''), chr(0) ORDER BY doc_id)) AS digest, count(*) AS n FROM documents GROUP BY 1")
@@ -200,6 +203,13 @@ def dataset_fingerprint(t):
     return review.fingerprint(t("documents"))
 
 
+@_query("""SELECT doc_id, array_to_string(list_sort(list_distinct(list_concat(list_transform(range(least(1 + doc_id % 40, 12)), lambda i: CASE WHEN doc_id % 40 = 0 THEN 0 ELSE i * (doc_id % 40) // (least(1 + doc_id % 40, 12) - 1) END), [(doc_id % 7) % (1 + doc_id % 40)]))), ',') AS frames FROM documents""")
+def sampled_frame_numbers(t):
+    n = (1 + F.col("doc_id") % 40).cast("int")
+    first = F.array((F.col("doc_id") % 7 % n).cast("int"), F.lit(None).cast("int"))
+    return t("documents").select("doc_id", F.array_join(refine.sampled_frames(n, first, 12).cast("array<string>"), ",").alias("frames"))
+
+
 @_query("SELECT conv_id, turn FROM (SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id, role ORDER BY sha256('preview:' || conv_id || ':' || turn), turn) AS n FROM (SELECT DISTINCT conv_id, turn, role FROM conversations)) WHERE n = 1")
 def preview_selection(t):
     c = t("conversations").select("conv_id", "turn", "role").distinct()

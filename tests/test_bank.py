@@ -17,8 +17,8 @@ def db():
     return con
 
 
-def plain(rows):
-    return sorted((tuple(round(x, 3) if isinstance(x, float) else x for x in r) for r in rows), key=repr)
+def plain(rows):  # at full precision, as the driver compares
+    return sorted((tuple(r) for r in rows), key=repr)
 
 
 @pytest.mark.parametrize("name", sorted(bank.QUERIES))
