@@ -6,9 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Fixed value: the characters that identifiers may have.
+OTHER = "[^A-Za-z0-9_.]+"
+
+
 def safe(col: Column | str) -> Column:
     """Runs of characters outside [A-Za-z0-9_.] become one dash; outer dashes go."""
-    return F.regexp_replace(F.regexp_replace(col, "[^A-Za-z0-9_.]+", "-"), "^-+|-+$", "")
+    return F.regexp_replace(F.regexp_replace(col, OTHER, "-"), "^-+|-+$", "")
 
 
 def stable_key(seed: str, *parts: Column) -> Column:
