@@ -6,6 +6,7 @@ from math import exp, inf, log1p
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,13 +45,17 @@ def normal(names: list[bytes], w: np.ndarray, stops: float) -> tuple[np.ndarray,
 
 
 class Lattice:
-    """Log-space forward and backward recursions over all segmentations of many words at once."""
+    """Log-space forward and backward recursions over all segmentations of many words at once.
 
-    def __init__(self, names: list[bytes], logp: np.ndarray):
+    Several sets of weights may be given, which share the search for pieces.
+    """
+
+    def __init__(self, names: list[bytes], *logps: np.ndarray):
         raw = np.frombuffer(b"".join(names), np.uint8)
         ends = np.cumsum([len(p) for p in names])
         self.keys = span_hash(raw, ends - [len(p) for p in names], ends)
-        self.logp, self.sizes = np.append(logp, -np.inf), sorted({len(p) for p in names})
+        self.logps, self.sizes = [np.append(p, -np.inf) for p in logps], sorted({len(p) for p in names})
+        self.logp = self.logps[0]
         self.tables, todo, shift = [], np.arange(len(names)), 0
         while len(todo):  # each table holds one piece a slot; the few that meet go to the next
             t = np.full(1 << 19, len(names), np.int32)
@@ -88,10 +93,11 @@ class Lattice:
         np.cumsum(_BYTE[b] * p[:n, None], axis=0, out=c[1:])
         return lambda s, e: self.find(mix((c[e] - c[s]) * inv[s] + np.uint64(e - s)))
 
-    def forward(self, b: np.ndarray, span, keep: bool = False) -> tuple[np.ndarray, dict]:
+    def forward(self, b: np.ndarray, span, keep: bool = False) -> tuple[list[np.ndarray], dict]:
         n = len(b)
-        alpha, found = np.full((n + 1, b.shape[1]), -np.inf), {}
-        alpha[0] = 0
+        alphas, found = [np.full((n + 1, b.shape[1]), -np.inf) for _ in self.logps], {}
+        for alpha in alphas:
+            alpha[0] = 0
         for e in range(1, n + 1):
             for k in self.sizes:
                 if k > e:
@@ -100,8 +106,9 @@ class Lattice:
                 if (ids != len(self.keys) - 1).any():
                     if keep:
                         found[e - k, e] = ids
-                    alpha[e] = np.logaddexp(alpha[e], alpha[e - k] + self.logp[ids])
-        return alpha, found
+                    for alpha, logp in zip(alphas, self.logps, strict=True):
+                        alpha[e] = np.logaddexp(alpha[e], alpha[e - k] + logp[ids])
+        return alphas, found
 
     def edges(self, word: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, end, piece) of every piece in one word, by end: about as many as the word has bytes, however long."""
@@ -141,14 +148,15 @@ class Lattice:
         return np.fromiter((len(w) >= LONG for w in words), bool, len(words))
 
     def scores(self, words: list[bytes]) -> np.ndarray:
-        """Natural log of each word's probability, over all segmentations."""
-        out, long = np.empty(len(words)), self._long(words)
+        """Natural log of each word's probability, over all segmentations; a row for each set of weights."""
+        out, long = np.empty((len(self.logps), len(words))), self._long(words)
         short = np.flatnonzero(~long)
         for own, b in self._groups([words[i] for i in short]):
-            out[short[own]] = self.forward(b, self._edges(b))[0][-1]
+            out[:, short[own]] = [alpha[-1] for alpha in self.forward(b, self._edges(b))[0]]
         for i in np.flatnonzero(long):
             s, e, ids = self.edges(words[i])
-            out[i] = self.summed(len(words[i]) + 1, s.tolist(), e.tolist(), self.logp[ids].tolist(), 0)[-1]
+            for row, logp in zip(out, self.logps, strict=True):
+                row[i] = self.summed(len(words[i]) + 1, s.tolist(), e.tolist(), logp[ids].tolist(), 0)[-1]
         return out
 
     def expected(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
@@ -156,7 +164,7 @@ class Lattice:
         total, long = np.zeros(len(self.keys)), self._long(words)
         short = np.flatnonzero(~long)
         for own, b in self._groups([words[i] for i in short]):
-            alpha, found = self.forward(b, self._edges(b), keep=True)
+            (alpha, *_), found = self.forward(b, self._edges(b), keep=True)
             beta = np.full(alpha.shape, -np.inf)
             beta[-1] = 0
             for (s, e), ids in reversed(found.items()):
@@ -232,11 +240,24 @@ def _runs(blocks: np.ndarray, lo: int, hi: int):
     return zip(cut, cut[1:], strict=False)
 
 
+def _gathered(batches, rows: int):
+    """Batches joined to about so many rows, so that words of equal length are many."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def _expecter(names: list[bytes], logp: np.ndarray):
     def run(batches):
         model = Lattice(names, logp)
         total = np.zeros(len(names))
-        for b in batches:
+        for b in _gathered(batches, 100_000):
             total += model.expected(b["word"].to_pylist(), np.ones(b.num_rows))
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some])], ["piece", "n"])
@@ -249,22 +270,28 @@ def _word_scorer(names: list[bytes], logp: np.ndarray, given: np.ndarray):
     words come one after another and are scored once."""
 
     def run(batches):
-        learned, own = Lattice(names, logp), Lattice(names, given)
-        for b in batches:
-            words = b["word"].to_pylist()
-            first = [i for i in range(len(words)) if i == 0 or words[i] != words[i - 1]]
-            some = [words[i] for i in first]
+        model = Lattice(names, logp, given)
+        for b in _gathered(batches, 300_000):
+            words = b["word"].chunk(0)
+            new = np.ones(len(words), bool)
+            new[1:] = pc.not_equal(words.slice(1), words.slice(0, len(words) - 1)).to_numpy(zero_copy_only=False)
+            some, of = words.filter(pa.array(new)).to_pylist(), np.cumsum(new) - 1
             size = np.fromiter(map(len, some), np.int64, len(some))
             ends = np.cumsum(size)
             h = span_hash(np.frombuffer(b"".join(some), np.uint8), ends - size, ends).view(np.int64)
-            of = np.repeat(np.arange(len(first)), np.diff([*first, len(words)]))
-            cols = [h[of], learned.scores(some)[of], own.scores(some).astype(np.float32)[of]]
-            rest = [n for n in b.schema.names if n.startswith("c")]
-            yield pa.RecordBatch.from_arrays([b["block"], *map(pa.array, cols), *(b[n] for n in rest)], ["block", "h", "pieces", "vocab", *rest])
+            learned, own = model.scores(some)
+            rest = [n for n in b.column_names if n.startswith("c")]
+            cols = [b["block"].chunk(0), pa.array(h[of]), pa.array(learned[of]), pa.array(own.astype(np.float32)[of]), *(b[n].chunk(0) for n in rest)]
+            yield from _parts(pa.RecordBatch.from_arrays(cols, ["block", "h", "pieces", "vocab", *rest]))
 
     return run
 
 
+def _parts(batch: pa.RecordBatch, rows: int = 50_000):
+    for lo in range(0, batch.num_rows, rows):
+        yield batch.slice(lo, rows)
+
+
 def _scorer(stops: tuple[float, float], off: float, docs: np.ndarray, sizes: np.ndarray, kinds: np.ndarray, v: int, whole_words: bool):
     """stops: log probability that a word stops, learned and by the vocabulary; sizes, kinds, docs: tokens, distinct
     words and texts in training, by group."""
