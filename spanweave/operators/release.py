@@ -137,7 +137,7 @@ def source_stats(rows: DataFrame, retained: DataFrame) -> DataFrame:
 
 
 def split_faults(rows: DataFrame, split: str = "train") -> DataFrame:
-    return rows.agg(F.count_if(~F.col("split").eqNullSafe(F.lit(split))).alias("foreign"))
+    return rows.agg(F.count_if(~F.col("split").eqNullSafe(F.lit(split))).alias("foreign_rows"))
 
 
 def inventory_faults(before: DataFrame, after: DataFrame, archived: dict[str, str], uploads: DataFrame) -> DataFrame:
