@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .common import _BYTE, _powers, checked, forget, kept, mix, packed, pieces, span_hash, word_spans
 
 #: Bytes of a block of texts; of a word from which on it is scored by itself; shuffle partitions take so many blocks.
-BLOCK_BYTES, LONG, SHARE = 12 << 20, 64, 4
+BLOCK_BYTES, LONG, SHARE = 12 << 20, 64, 1
 
 
 def vocabulary(path: str) -> tuple[list[bytes], np.ndarray, float]:
@@ -281,7 +281,7 @@ def _word_scorer(names: list[bytes], logp: np.ndarray, given: np.ndarray):
             h = span_hash(np.frombuffer(b"".join(some), np.uint8), ends - size, ends).view(np.int64)
             learned, own = model.scores(some)
             rest = [n for n in b.column_names if n.startswith("c")]
-            cols = [b["block"].chunk(0), pa.array(h[of]), pa.array(learned[of]), pa.array(own.astype(np.float32)[of]), *(b[n].chunk(0) for n in rest)]
+            cols = [b["block"].chunk(0), pa.array(h[of]), pa.array(learned.astype(np.float32)[of]), pa.array(own.astype(np.float32)[of]), *(b[n].chunk(0) for n in rest)]
             yield from _parts(pa.RecordBatch.from_arrays(cols, ["block", "h", "pieces", "vocab", *rest]))
 
     return run
@@ -315,7 +315,7 @@ def _scorer(stops: tuple[float, float], off: float, docs: np.ndarray, sizes: np.
         c = by.sum(axis=1)
         with np.errstate(divide="ignore"):
             met = np.log(np.maximum(c - off, 0) / (n + 2)) if whole_words else np.full(len(c), -np.inf)
-        whole = np.logaddexp(met, sub + stops[0] + right["pieces"].to_numpy())
+        whole = np.logaddexp(met, sub + stops[0] + right["pieces"].to_numpy().astype(np.float64))
         vocab = (np.log1p(-np.exp(last)) + stops[1] + right["vocab"].to_numpy().astype(np.float64)) / np.log(10)
         own = np.column_stack([by_group(whole, by), vocab, np.log10((c + smooth) / total), c > 0])
         h = right["h"].to_numpy().view(np.uint64)
@@ -353,7 +353,7 @@ def lattice_scores(docs: DataFrame, path: str, folds: int = 10, turns: int = 2,
 
     Held out is crc32(id as text) mod folds = 0; all else trains. Texts are cut into blocks of 12 MB. The
     distinct words of each block travel once to their word's partition, where they are counted over the
-    corpus and scored, each once; back to the blocks go hashes and numbers. Only piece totals (as many as the
+    corpus and scored, each once; back to the blocks go hashes and numbers, log probabilities in single precision. Only piece totals (as many as the
     vocabulary has) reach the driver. A text longer than a block is one by itself, and a word of any length is
     scored in time and memory that follow its length. Null and empty texts hold only the end token. Repeated
     rows each count and return a row. Groups of equal frequency are taken in order of their values. An empty
@@ -385,7 +385,7 @@ def lattice_scores(docs: DataFrame, path: str, folds: int = 10, turns: int = 2,
         for r in rows:
             total[r["piece"]] += r["n"]
         logp, stop = normal(names, total, got["vn"])
-    scored = counts.drop("first").mapInArrow(_word_scorer(names, logp, given), f"block long, h long, pieces double, vocab float, {', '.join(c + ' long' for c in each)}")
+    scored = counts.drop("first").mapInArrow(_word_scorer(names, logp, given), f"block long, h long, pieces float, vocab float, {', '.join(c + ' long' for c in each)}")
     run = _scorer((float(stop), float(own_stop)), off, docs_in, sizes, kinds, v, whole_words)
     ready = kept(texts.repartition(parts, "block").groupBy("block").cogroup(scored.repartition(parts, "block").groupBy("block")).applyInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, vocab_score double"), "scores", release=True)
     forget(texts, counts)
