@@ -84,4 +84,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_windows": op9_windows,
     "op10_packing": op10_packing,
 }
-ORACLE: dict[str, str] = {}
+_COMPONENTS = """reach AS (SELECT id, id AS got FROM nodes UNION SELECT r.id, l.b FROM reach r JOIN (SELECT a, b FROM links UNION ALL SELECT b, a FROM links) l ON l.a = r.got),
+firsts AS (SELECT id, min(got) AS component_id FROM reach GROUP BY id)"""
+#: Queries whose whole result SQL can say, too, by comparison of all documents, or vectors, with each other.
+ORACLE: dict[str, str] = {
+    "op4_minhash": f"""WITH RECURSIVE w AS (SELECT doc_id AS id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+nodes AS (SELECT id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM w),
+items AS (SELECT id, unnest(s) AS x FROM nodes), pairs AS (SELECT p.id AS a, q.id AS b, count(*) AS c FROM items p JOIN items q ON p.x = q.x AND p.id < q.id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN nodes p ON p.id = a JOIN nodes q ON q.id = b WHERE 100 * c >= 85 * (len(p.s) + len(q.s) - c)), {_COMPONENTS}
+SELECT n.id AS doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, n.id = component_id AS kept FROM nodes n JOIN firsts l ON l.id = n.id""",
+    "op5_quantise": f"""WITH RECURSIVE nodes AS (SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+good AS (SELECT id, label, x, sqrt(list_sum(list_transform(x, lambda v: v * v))) AS size FROM nodes WHERE x IS NOT NULL AND len(x) > 0 AND len(list_filter(x, lambda v: v IS NULL OR isnan(v) OR isinf(v))) = 0),
+links AS (SELECT p.id AS a, q.id AS b FROM good p JOIN good q ON p.label = q.label AND p.id < q.id AND len(p.x) = len(q.x) WHERE p.size > 0 AND q.size > 0 AND list_dot_product(p.x, q.x) / (p.size * q.size) >= 0.98), {_COMPONENTS},
+n AS (SELECT id, count(*) AS n FROM (SELECT a AS id FROM links UNION ALL SELECT b FROM links) GROUP BY 1)
+SELECT x.id AS vec_id, coalesce(n.n, 0) AS n_links, component_id, x.id = component_id AS kept FROM nodes x JOIN firsts l ON l.id = x.id LEFT JOIN n ON n.id = x.id""",
+}

@@ -130,6 +130,13 @@ def test_unlinked_copies_meet_across_components(spark):
     assert [got[i]["component_id"] for i in range(len(rows))] == comp
 
 
+def test_texts_of_one_id_link_it(spark):
+    one, two = prose(150, 501), prose(150, 502)
+    rows = [(1, one), (1, two), (2, one + " z"), (3, two + " z"), (4, prose(90, 503)), (4, prose(90, 503)), (5, None), (5, one + " y"), (None, one)]
+    got = sorted((r.doc_id or 0, r.component_id, r.kept) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=3, percent=85).collect())
+    assert got == [(0, None, None), (1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), (4, 4, True), (5, 1, False), (5, 5, True)]
+
+
 def test_audio(docs, none):
     for i, r in by_id(audio_digest(docs)).items():
         raw = (TEXTS[i] or "").encode()
@@ -412,6 +419,38 @@ def test_vectors_of_several_lengths(spark):
     assert all(got[i].n_links == 0 for i in range(60))
 
 
+def linked(x, labels, cosine=0.98):
+    """Numbers of links and components by comparison of all pairs."""
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    ok = (u @ u.T >= cosine) & (labels[:, None] == labels[None]) & ~np.eye(len(x), dtype=bool)
+    comp = np.arange(len(x))
+    for a, b in zip(*np.nonzero(ok), strict=True):
+        lo, hi = sorted((comp[a], comp[b]))
+        comp[comp == hi] = lo
+    return ok.sum(axis=1), comp
+
+
+def test_vectors_in_levels_and_shards(spark, monkeypatch):
+    """Lists of two levels, and lists that several tasks share, find what brute force finds."""
+    from spanweave.llm import quantise
+
+    rng = np.random.default_rng(16)
+    base = rng.normal(size=(150, 64))
+    x = np.concatenate([base, *(base[:60] + 0.02 * rng.normal(size=(60, 64)) for _ in range(4)), base[0] + 0.05 * rng.normal(size=(200, 64))])
+    labels = np.where(np.arange(len(x)) < 390, np.arange(len(x)) % 30 % 3, 0)
+    monkeypatch.setattr(quantise, "FILL", 8)
+    monkeypatch.setattr(quantise, "SHARD", 16)
+    assert quantise.level_sizes(10**6, 64) == [64, 64, 31] and quantise.level_sizes(3, 64) == [1]
+    rows = [(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(x, labels, strict=True))]
+    got = by_id(near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), branch=6))
+    n, comp = linked(x, labels)
+    found = np.array([got[i].n_links for i in range(len(x))])
+    assert (found <= n).all() and found.sum() >= 0.97 * n.sum() and n.max() > 100
+    assert np.mean([got[i].component_id == comp[i] for i in range(len(x))]) > 0.97
+    a, b = quantise.forest(np.array([5, 7, 9, 7]), np.array([7, 5, 11, 12]))
+    assert sorted(zip(a.tolist(), b.tolist(), strict=True)) == [(5, 7), (5, 12), (9, 11)]
+
+
 def test_languages(spark, docs, none):
     rows = [(i, " ".join(np.random.default_rng(i).choice(["the", "of", "and", "think"] if i % 2 else ["der", "und", "nicht", "schön"], 30)), "en" if i % 2 else "de") for i in range(120)]
     rows += [(500, None, "en"), (501, "123 ... !!", "de"), (502, "", None)]
