@@ -154,3 +154,93 @@ def grouped_prompts(contexts: Column) -> Column:
     key = lambda c: F.lower(F.trim(F.coalesce(c["sam_prompt"], F.lit(""))))
     keys = F.array_sort(F.array_distinct(F.filter(F.transform(contexts, key), lambda k: k != "")))
     return F.transform(keys, lambda k: F.struct(k.alias("sam_prompt"), F.filter(contexts, lambda c: key(c) == k).alias("candidates")))
+
+
+def _raw(start: Column, end: Column, head: Column, words: Column, sure: bool) -> Column:
+    return F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), head.alias("head"), words.alias("prompt"), F.lit(sure).alias("sure"))
+
+
+def _let(value: Column, use) -> Column:
+    """use(value), with the value computed once: expressions that name it again and again would grow with each level."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+RAW = "array<struct<start:int,end:int,head:string,prompt:string,sure:boolean>>"
+
+
+def phrases(text: Column, tokens: Column, chunks: Column, place: Column) -> Column:
+    """What may be an entity beside the target, each place and head once: noun phrases, each with its possessors after
+    it, then body parts that lie in none of them. chunks: start, end, root (a token), tokens; tokens also say their head's
+    number; place: the target's start, end and head. A phrase within the target, or that covers its start, is none, nor
+    is one whose head is a pronoun."""
+    none, start, end = F.array().cast(RAW), place["start"], place["end"]
+
+    def owned(c: Column) -> Column:
+        owners = F.filter(c["tokens"], lambda t: (t["dep"] == "poss") & t["pos"].isin("NOUN", "PROPN"))
+        first = lambda t: F.array_min(F.concat(F.array(t["start"]), F.transform(F.filter(tokens, lambda d: (d["head"] == t["i"]) & (d["i"] < t["i"]) & (d["dep"] == "det")), lambda d: d["start"])))
+        each = F.transform(owners, lambda t: _raw(first(t), t["start"] + F.length(t["text"]), lemma(t["lemma"]), lemma(t["lemma"]), True))
+        return F.filter(each, lambda r: ~((r["start"] >= start) & (r["end"] <= end)))
+
+    def of_chunk(c: Column) -> Column:
+        read = F.struct(candidate_span(text, c["start"], c["end"]).alias("at"), lemma(c["root"]["lemma"]).alias("word"), prompt(c["tokens"], c["root"]).alias("said"))
+
+        def made(x: Column) -> Column:
+            inside = ((x["at"]["start"] >= start) & (x["at"]["end"] <= end)) | ((x["at"]["start"] <= start) & (start < x["at"]["end"]))
+            some = (x["word"] != "") & ~inside & ~x["word"].isin(*PRONOUNS, "it", "which")
+            return F.when(some, F.concat(F.array(_raw(x["at"]["start"], x["at"]["end"], x["word"], F.nullif(x["said"], F.lit("")), False)), owned(c))).otherwise(none)
+
+        return _let(read, made)
+
+    key = lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), r["head"].alias("head"))
+
+    def once(named: Column) -> Column:
+        keys = F.concat(F.array(key(place)), F.transform(named, key))
+        return F.filter(named, lambda r, i: F.array_position(keys, key(r)) == i + 2)
+
+    def with_parts(named: Column) -> Column:
+        parts = F.transform(body_parts(tokens, F.concat(F.array(key(place)), F.transform(named, key))), lambda t: _raw(t["start"], t["start"] + F.length(t["text"]), lemma(t["lemma"]), lemma(t["lemma"]), True))
+        return F.concat(named, parts)
+
+    return _let(_let(F.flatten(F.transform(chunks, of_chunk)), once), with_parts)
+
+
+def extraction(text: Column, negative: Column, tokens: Column, chunks: Column, category: Column) -> Column:
+    """(target, coreferences, contexts, ignored) of an instruction; negative ones have none.
+
+    The target is what a question asks for, else the first subject-like noun phrase, else the whole text under its
+    category's name; an empty span becomes that of its head.
+    """
+    is_who = text.rlike(r"(?i)^\s*who\b")
+
+    def first(x: Column) -> Column:
+        own = F.when(x["chunk"].isNotNull(), without_actions(text, tokens, x["chunk"]["start"], x["chunk"]["end"]))
+        at = F.coalesce(x["asked"], own, F.struct(F.lit(0).alias("start"), F.length(text).alias("end")))
+        return F.struct(at.alias("at"), x["asked"].isNotNull().alias("asked"), x["chunk"].isNotNull().alias("named"), lemma(x["chunk"]["root"]["lemma"]).alias("root"))
+
+    def headed(x: Column) -> Column:
+        noun = head_in(tokens, x["at"]["start"], x["at"]["end"], F.when(x["asked"], "entity").otherwise(x["root"]))
+        head = F.when(is_who, F.lit("person")).when(x["asked"] | x["named"], noun).otherwise(F.lower(F.coalesce(category, F.lit("entity"))))
+        return F.struct(x["at"].alias("at"), head.alias("head"))
+
+    def placed(x: Column) -> Column:
+        return _let(repaired_at(x), lambda p: F.struct(p["start"].cast("int").alias("start"), p["end"].cast("int").alias("end"), x["head"].alias("head")))
+
+    def repaired_at(x: Column) -> Column:
+        return spans.repaired(text, x["at"]["start"], x["at"]["end"], x["head"])
+
+    def numbered(r: Column, i: Column) -> Column:
+        what = F.when(r["sure"], F.lit("prompt_sam3.1")).otherwise(decision(text, r["start"], r["end"], r["head"]))
+
+        def told(x: Column) -> Column:
+            wanted = x == "prompt_sam3.1"
+            return F.struct(F.concat(F.lit("entity-"), F.lpad((i + 1).cast("string"), 2, "0")).alias("candidate_id"), F.when(wanted, "context_sam").otherwise("special_handling").alias("role"), spans.cut(text, r["start"], r["end"]).alias("surface"), r["start"].alias("start"), r["end"].alias("end"), r["head"].alias("head"), F.when(wanted, F.coalesce(r["prompt"], r["head"])).alias("sam_prompt"), x.alias("decision"), wanted.alias("required_by_bcc"))
+
+        return _let(what, told)
+
+    def whole(place: Column) -> Column:
+        target = F.struct(F.lit("entity-00").alias("candidate_id"), F.lit("target_gt").alias("role"), spans.cut(text, place["start"], place["end"]).alias("surface"), place["start"].alias("start"), place["end"].alias("end"), place["head"].alias("head"), place["head"].alias("sam_prompt"))
+        split = lambda every: F.struct(target.alias("target"), coreferences(tokens, place["start"], place["end"]).alias("coreferences"), F.filter(every, lambda c: c["required_by_bcc"]).alias("contexts"), F.filter(every, lambda c: ~c["required_by_bcc"]).alias("ignored"))
+        return _let(F.transform(phrases(text, tokens, chunks, place), numbered), split)
+
+    begun = F.struct(question_target(text).alias("asked"), target_chunk(chunks).alias("chunk"))
+    return F.when(~negative, _let(_let(_let(_let(begun, first), headed), placed), whole))

@@ -201,3 +201,23 @@ def test_whole_fingerprint(spark):
     rows = [(2, "b"), (1, None), (3, "ü")]
     d = spark.createDataFrame(rows, "id long, text string").repartition(3)
     assert review.whole_fingerprint(d, ["id"], "id", "text") == hashlib.sha256("1\0\0002\0b\0003\0ü\0".encode()).hexdigest()
+
+
+def test_extraction(spark):
+    text = 'The red dog near the man\'s hand, like a wolf, and its paw'
+    words = [("The", "the", "DET", "det", 2), ("red", "red", "ADJ", "amod", 2), ("dog", "dog", "NOUN", "nsubj", 2), ("near", "near", "ADP", "prep", 2), ("the", "the", "DET", "det", 5), ("man", "man", "NOUN", "poss", 7), ("'s", "'s", "PART", "case", 5), ("hand", "hand", "NOUN", "pobj", 3), ("like", "like", "ADP", "prep", 2), ("a", "a", "DET", "det", 10), ("wolf", "wolf", "NOUN", "pobj", 8), ("its", "its", "PRON", "poss", 12), ("paw", "paw", "NOUN", "conj", 2)]
+    tokens, at = [], 0
+    for i, (w, lem, pos, dep, head) in enumerate(words):
+        at = text.index(w, at)
+        tokens.append((w, lem, pos, dep, at, i, head))
+        at += len(w)
+    chunk = lambda a, z, r: (tokens[a][4], tokens[z][4] + len(tokens[z][0]), tokens[r], tokens[a : z + 1], tokens[r][3])
+    tok = "struct<text:string,lemma:string,pos:string,dep:string,start:int,i:int,head:int>"
+    schema = f"text string, negative boolean, tokens array<{tok}>, chunks array<struct<start:int,end:int,root:{tok},tokens:array<{tok}>,dep:string>>, category string"
+    rows = [(text, False, tokens, [chunk(0, 2, 2), chunk(4, 7, 7), chunk(9, 10, 10)], "dog"), ("no dog", True, [], [], None), ("run away", False, [], [], "Bear")]
+    d = spark.createDataFrame(rows, schema)
+    x, none, bare = [r.x for r in d.select(language.extraction(*[F.col(c) for c in ("text", "negative", "tokens", "chunks", "category")]).alias("x")).collect()]
+    assert (x.target.surface, x.target.head) == ("The red dog", "dog") and [c.text for c in x.coreferences] == ["its"]
+    assert [(c.surface, c.sam_prompt) for c in x.contexts] == [("the man's hand", "hand"), ("the man", "man"), ("paw", "paw")]
+    assert [(c.surface, c.decision, c.sam_prompt) for c in x.ignored] == [("a wolf", "ignore_comparison_concept", None)]
+    assert none is None and (bare.target.surface, bare.target.head, bare.contexts) == ("run away", "bear", [])
