@@ -257,7 +257,7 @@ def _expecter(names: list[bytes], logp: np.ndarray):
     def run(batches):
         model = Lattice(names, logp)
         total = np.zeros(len(names))
-        for b in _gathered(batches, 100_000):
+        for b in _gathered(batches, 60_000):
             total += model.expected(b["word"].to_pylist(), np.ones(b.num_rows))
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some])], ["piece", "n"])
@@ -271,7 +271,7 @@ def _word_scorer(names: list[bytes], logp: np.ndarray, given: np.ndarray):
 
     def run(batches):
         model = Lattice(names, logp, given)
-        for b in _gathered(batches, 300_000):
+        for b in _gathered(batches, 120_000):
             words = b["word"].chunk(0)
             new = np.ones(len(words), bool)
             new[1:] = pc.not_equal(words.slice(1), words.slice(0, len(words) - 1)).to_numpy(zero_copy_only=False)
