@@ -175,8 +175,9 @@ def bpe_encoded(docs: DataFrame, path: str, digest: bool = False, id_col: str =
     """doc_id, n_tokens, ids and decoded text (or, with digest, their SHA-256) of every whole text.
 
     One narrow pass; each Python worker keeps a bounded cache of words. `path` names the vocabulary on
-    every machine. Null and empty texts have no tokens and decode to the empty text. Repeated rows each
-    return a row; other columns are ignored.
+    every machine. Null and empty texts have no tokens and decode to the empty text. A very long text is
+    encoded whole, a very long word by a heap. Of pairs of equal rank the leftmost is merged first. Repeated
+    rows each return a row; an empty table returns no rows; other columns are ignored.
     """
     d = checked(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     return d.mapInArrow(_map(path, digest), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digest else "doc_id long, n_tokens long, ids array<int>, decoded string")

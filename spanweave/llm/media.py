@@ -159,14 +159,17 @@ def audio_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Columns: doc_id, n_bytes, media (the file), frames, tensors (rows of FRAMES x MELS values, the storage
     of a fixed-shape Arrow tensor: see tensor_column), tensor_spans and segment_spans in seconds, energy_db.
     One narrow pass, without a shuffle; memory is bounded by the largest text. Null and empty texts are 64
-    zero bytes. Equal texts give equal values; repeated rows each return a row. Other columns are ignored.
+    zero bytes. Equal texts give equal values; repeated rows each return a row. A very long text is one file whose
+    frames are made in blocks. There are no ties to break. An empty table returns no rows. Other columns are
+    ignored.
     """
     d = checked(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     return d.mapInArrow(lambda it: _rows(it, False), _SCHEMA)
 
 
 def audio_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """audio_features() as digests, made where the features are: sizes, hashes and one feature string a row."""
+    """audio_features() as digests, made where the features are: sizes, hashes and one feature string a row. Odd rows
+    as there."""
     d = checked(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     return d.mapInArrow(lambda it: _rows(it, True), _DIGEST)
 

@@ -209,8 +209,10 @@ def packed_sequences(docs: DataFrame, path: str, capacity: int = 2048, end: int
     counts for each task and length, so no task sees all pieces of a length. The patterns sent to the tasks
     are bounded by `capacity`, too, not by the number of rows.
 
-    Null and empty texts are one piece of the end id. Repeated rows are packed each by itself. An empty
-    table returns no rows. Other columns are ignored.
+    Null and empty texts are one piece of the end id. A very long text is encoded a bounded number of words at
+    a time and cut into pieces. Repeated rows are packed each by itself. Pieces of equal length take their
+    places by task and order within it; of combinations that fill a bin alike the one with the longest lengths
+    is taken. An empty table returns no rows. Other columns are ignored.
     """
     d = checked(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     made = kept(d.mapInArrow(_cutter(path, capacity, end), "doc_id long, piece int, start long, length long, ids_crc32 long, part int, seq long"), "pieces")
