@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions import masks, spans
 
-#: Fixed value: the version that records carry.
-VERSION = "concor-video-tracklet-bcc-v2"
+#: The version that records carry by default; whoever has records of another one says so.
+VERSION = "tracklet-bcc-v2"
 RECORD = """sample_id string, schema_version string, dataset string, split string, cohort string, annotation_protocol string, provenance_warning string,
 dataset_root string, frame_source string, video_id string, expression_id string, text string, negative boolean, target_source string, disposition string,
 frame_ids array<string>, frame_files array<string>, unresolved_required_prompts array<string>, extraction string, sam_prompt_audit string, pipeline string, runtime_seconds double,
@@ -67,9 +67,9 @@ def fault(version: str | None = VERSION) -> Column:
     return F.coalesce(*[F.when(F.coalesce(broken, F.lit(True)), F.lit(name)) for name, broken in rules])
 
 
-def refused(records: DataFrame) -> DataFrame:
+def refused(records: DataFrame, version: str | None = VERSION) -> DataFrame:
     """The records, each checked as it is read: one that breaks a rule ends the job with its id and the rule."""
-    why = fault()
+    why = fault(version)
     return records.where(F.when(why.isNull(), True).otherwise(F.raise_error(F.concat(F.lit("record "), F.col("sample_id"), F.lit(": "), why))))
 
 
@@ -174,7 +174,7 @@ def ledger_rows(units: DataFrame, records: DataFrame, errors: DataFrame) -> Data
     )
 
 
-def export_campaign(units: DataFrame, records: DataFrame, errors: DataFrame, out: str, campaign: str) -> dict:
+def export_campaign(units: DataFrame, records: DataFrame, errors: DataFrame, out: str, campaign: str, version: str | None = VERSION) -> dict:
     """Writes the four flat tables, the ledger as CSV and the manifest under `out`, and returns the manifest.
 
     Every record is validated on the way. All tables go to a staging folder beside `out`, which takes its
@@ -182,7 +182,7 @@ def export_campaign(units: DataFrame, records: DataFrame, errors: DataFrame, out
     """
     spark = records.sparkSession
     stage = f"{out.rstrip('/')}.{uuid.uuid4().hex}.part"
-    checked = refused(records)
+    checked = refused(records, version)
     tables = {"samples": sample_rows(checked), "verification": verification_rows(checked), "tracklets": tracklet_rows(checked), "links": link_rows(checked)}
     for name, table in tables.items():
         table.write.option("compression", "zstd").parquet(f"{stage}/{name}.parquet")
