@@ -189,16 +189,17 @@ def _segments(batches):
         yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(seqs, pa.list_(pa.string()))], ["lang", "words"])
 
 
-SEGMENT = 24
+#: Words of a segment, and of the stretches that mixed ones are made of.
+SEGMENT, STRETCH = 24, 3
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
-def trained(train: DataFrame, bound: int = 2_000, segments: int = 24_000, lexicon_size: int = 6_000) -> ChainCRF:
+def trained(train: DataFrame, bound: int = 4_000, segments: int = 24_000, lexicon_size: int = 6_000) -> ChainCRF:
     """The field learned from (doc_id, lang, text) rows: those of at most `bound` ids, whose hashes are least.
 
     Their whole texts are cut into segments of 24 words, labelled with their language; at most `segments` of
     these, again of least hash, are learned from, which bounds the driver's memory however long texts are or
-    often an id repeats. An eighth as many more are put together from halves of two, so that transitions
+    often an id repeats. Half as many more are mixed from stretches of three words of two, so that transitions
     learn of switches. The lexicon holds the segments' most frequent words. No rows: one label und.
     """
     some = train.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
@@ -212,10 +213,10 @@ def trained(train: DataFrame, bound: int = 2_000, segments: int = 24_000, lexico
     labels = sorted({x for x, _ in full})
     words = [[*w] for _, w in full]
     y = [[labels.index(x)] * SEGMENT for x, _ in full]
-    for i, j in rng.integers(0, len(full), (len(full) // 8, 2)).tolist():
-        cut = int(rng.integers(4, SEGMENT - 4))
-        words.append(words[i][:cut] + words[j][cut:])
-        y.append(y[i][:cut] + y[j][cut:])
+    for i, j in rng.integers(0, len(full), (len(full) // 2, 2)).tolist():
+        other = np.repeat(rng.random(SEGMENT // STRETCH) < 0.5, STRETCH)
+        words.append([words[j if k else i][n] for n, k in enumerate(other)])
+        y.append([y[j if k else i][n] for n, k in enumerate(other)])
     raw = [w.encode() for s in words for w in s]
     buf = np.frombuffer(b"".join(raw), np.uint8)
     ends = np.cumsum([len(w) for w in raw])
@@ -225,7 +226,7 @@ def trained(train: DataFrame, bound: int = 2_000, segments: int = 24_000, lexico
     return ChainCRF(labels, lexicon).fit(buf, starts, ends, np.arange(len(raw)).reshape(-1, SEGMENT), np.array(y))
 
 
-def languages(docs: DataFrame, folds: int = 3, held: int = 1, bound: int = 2_000, segments: int = 24_000, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def languages(docs: DataFrame, folds: int = 3, held: int = 1, bound: int = 4_000, segments: int = 24_000, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, lang_pred, score of every whole text, and chance, the score of a text that tells nothing.
 
     Held out is crc32(id as text) mod folds = held; the field learns from a bounded sample of the other rows
