@@ -159,7 +159,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     while not rest.isEmpty():
         if turn == 1:  # by now few are left: what they share is known more closely by their rare shingles
             by_rare, rest = _narrowed(rest, sets, percent, rare)
-        heads = rest.groupBy("key", F.pmod(F.xxhash64("b"), F.lit(1 if turn == 0 else CENTRES)).alias("s")).agg(F.min(F.struct(F.xxhash64("b").alias("h"), F.col("b").alias("a"), F.col("g").alias("ga"))).alias("h"))
+        heads = rest.groupBy("key", F.pmod(F.xxhash64("b"), F.lit(min(MOST, 4**turn * CENTRES) if turn else 1)).alias("s")).agg(F.min(F.struct(F.xxhash64("b").alias("h"), F.col("b").alias("a"), F.col("g").alias("ga"))).alias("h"))
         heads = kept(heads.select("key", "h.a", "h.ga"), "heads")
         pairs = rest.join(heads, "key").where("g <> ga").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if turn == 1:
@@ -175,8 +175,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return one.select("doc_id", "n_shingles", cid.alias("component_id"), (F.col("doc_id") == cid).alias("kept"))
 
 
-#: Members of a bucket that are compared with the rest of it in each later round.
-CENTRES = 32
+#: Members of a bucket that are compared with the rest of it: four times these in the second round, four times as many in
+#: each after it, and no more than MOST in one.
+CENTRES, MOST = 16, 1024
 
 
 def _placed(member: DataFrame, comp: DataFrame) -> DataFrame:
