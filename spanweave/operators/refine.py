@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import masks, spans
+from ..functions.binding import bound
 
 #: Tracks a record and an entity may have; packets' expressions, tracks and reply tokens; prices.
 MOST_TRACKS, MOST_PER_ENTITY = 64, 10
@@ -26,10 +27,10 @@ def inspected(records: DataFrame, most: int = MOST_TRACKS, per_entity: int = MOS
     mains = F.when(F.col("negative"), none).otherwise(spans.ids_of(groups, "main_referent"))
     context = F.array_except(spans.ids_of(groups, "context_entity"), spans.ids_of(groups, "main_referent"))
     tracks = F.when(F.col("negative"), F.filter("tracklets", lambda t: F.array_contains(F.col("_context"), t["tracklet_id"]))).otherwise(F.col("tracklets"))
-    d = records.withColumn("_mains", mains).withColumn("_context", context).withColumn("_tracks", tracks)
+    d = bound(bound(records, _mains=mains, _context=context), _tracks=tracks)
     is_main = lambda t: F.array_contains(F.col("_mains"), t["tracklet_id"])
-    d = d.withColumn("_tracks", F.concat(F.filter("_tracks", is_main), F.filter("_tracks", lambda t: ~is_main(t))))
-    d = d.withColumn("_ids", F.transform("_tracks", lambda t: t["tracklet_id"]))
+    d = bound(d, _tracks=F.concat(F.filter("_tracks", is_main), F.filter("_tracks", lambda t: ~is_main(t))))
+    d = bound(d, _ids=F.transform("_tracks", lambda t: t["tracklet_id"]))
 
     def state(t: Column, i: Column) -> Column:
         again = F.array_contains(F.slice(F.col("_ids"), F.lit(1), i), t["tracklet_id"])
@@ -38,11 +39,11 @@ def inspected(records: DataFrame, most: int = MOST_TRACKS, per_entity: int = MOS
         why = F.when(again | (F.coalesce(F.size(t["masks"]), F.lit(0)) != F.size(frames)), "invalid_tracklet_alignment").when(~F.coalesce(runs_ok, F.lit(False)), "invalid_mask_rle").when(~seen & F.array_contains(F.col("_mains"), t["tracklet_id"]), "empty_main_referent")
         return F.struct(t["tracklet_id"].alias("id"), why.alias("why"), seen.alias("seen"), F.sha2(F.to_json(F.struct(frames.alias("f"), t["masks"].alias("m")), {"ignoreNullFields": "false"}), 256).alias("sign"))
 
-    d = d.withColumn("_states", F.transform("_tracks", state))
-    shown = F.filter("_states", lambda s: s["seen"])
+    d = bound(d, _states=F.transform("_tracks", state))
+    d = bound(d, _shown=F.filter("_states", lambda s: s["seen"]))
     first_of = lambda s: F.get(F.filter(F.col("_shown"), lambda o: o["sign"] == s["sign"]), F.lit(0))["id"]
-    d = d.withColumn("_shown", shown).withColumn("_alias", F.transform("_shown", lambda s: F.struct(s["id"].alias("id"), first_of(s).alias("of"))))
-    d = d.withColumn("kept", F.transform(F.filter("_alias", lambda a: a["id"] == a["of"]), lambda a: a["id"])).withColumn("aliases", F.filter("_alias", lambda a: a["id"] != a["of"]))
+    d = bound(d, _alias=F.transform("_shown", lambda s: F.struct(s["id"].alias("id"), first_of(s).alias("of"))))
+    d = bound(d, kept=F.transform(F.filter("_alias", lambda a: a["id"] == a["of"]), lambda a: a["id"]), aliases=F.filter("_alias", lambda a: a["id"] != a["of"]))
     track_fault = F.get(F.array_compact(F.transform("_states", lambda s: s["why"])), F.lit(0))
     reason = (
         F.when((F.size(frames) == 0) | (F.size(F.array_distinct(frames)) < F.size(frames)), "invalid_frame_sequence")
@@ -52,7 +53,7 @@ def inspected(records: DataFrame, most: int = MOST_TRACKS, per_entity: int = MOS
         .when(F.size("kept") > most, "excessive_tracklets")
         .when(crowded(groups, F.col("kept"), F.col("aliases"), per_entity), "excessive_entity_link")
     )
-    return d.withColumn("reason", reason).select(*records.columns, "reason", "kept", "aliases")
+    return bound(d, reason=reason).select(*records.columns, "reason", "kept", "aliases")
 
 
 def renamed(ids: Column, aliases: Column, kept: Column) -> Column:
@@ -73,11 +74,12 @@ def merged_groups(sound: DataFrame) -> DataFrame:
     with the sorted union of their kept tracks. Groups without a kept track go; a negative record keeps context."""
     some = F.filter("groups", lambda g: ~F.col("negative") | (g["role"] == "context_entity"))
     own = F.transform(some, lambda g: F.struct(F.struct(g["role"].alias("role"), g["identity"].alias("identity"), g["text_spans"].alias("text_spans")).alias("key"), renamed(g["tracklet_ids"], F.col("aliases"), F.col("kept")).alias("ids")))
-    d = sound.withColumn("_g", F.filter(own, lambda g: F.size(g["ids"]) > 0))
-    keys = F.array_distinct(F.transform("_g", lambda g: g["key"]))
+    d = bound(bound(sound, _g=own), _g=F.filter("_g", lambda g: F.size(g["ids"]) > 0))
+    d = bound(d, _keys=F.array_distinct(F.transform("_g", lambda g: g["key"])))
     ids = lambda k: F.array_sort(F.array_distinct(F.flatten(F.transform(F.filter(F.col("_g"), lambda g: g["key"] == k), lambda g: g["ids"]))))
-    entry = lambda k, i: F.struct((i + 1).alias("id"), k["role"].alias("role"), k["identity"].alias("identity"), k["text_spans"].alias("text_spans"), ids(k).alias("tracklet_ids"), F.size(ids(k)).alias("candidates"))
-    return d.withColumn("entries", F.transform(keys, entry)).drop("_g")
+    d = bound(d, _each=F.transform("_keys", ids))
+    entry = lambda k, i: F.struct((i + 1).alias("id"), k["role"].alias("role"), k["identity"].alias("identity"), k["text_spans"].alias("text_spans"), F.get("_each", i).alias("tracklet_ids"), F.size(F.get("_each", i)).alias("candidates"))
+    return bound(d, entries=F.transform("_keys", entry)).drop("_g", "_keys", "_each")
 
 
 def visual_ids(tracks: DataFrame, known: DataFrame | None = None) -> DataFrame:

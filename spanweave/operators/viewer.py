@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .requests import numbered
+
 #: Public names of the stored columns.
 PUBLIC = {
     "sample_id": "sample_id", "dataset": "source_dataset", "split": "source_split", "video_id": "video_id", "expression_id": "expression_id", "text": "caption", "negative": "is_nonexistent",
@@ -106,13 +108,9 @@ def matching(samples: DataFrame, dataset: str = "", density: str = "", decision:
 def rotated(keys: DataFrame, key: str, shard: int, shards: int) -> DataFrame:
     """place: where a shard comes to each key if it begins in its own part of the sorted queue. Keys, one row a video, are
     numbered by range, so no task sorts them all."""
-    parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = keys.repartitionByRange(parts, key).withColumn("_p", F.spark_partition_id())
-    n = r.groupBy("_p").agg(F.count("*").alias("_n"))
-    base = n.withColumn("_b", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("_all", F.sum("_n").over(Window.partitionBy()))
-    rank = F.row_number().over(Window.partitionBy("_p").orderBy(key)) - 1 + F.col("_b")
+    n = keys.agg(F.count("*").alias("_all"))
     start = (F.lit(shard) * F.greatest(F.lit(1), F.floor(F.col("_all") / shards))) % F.col("_all")
-    return r.join(F.broadcast(base), "_p").select(*keys.columns, F.pmod(rank - start, F.col("_all")).cast("int").alias("place"))
+    return numbered(keys, key).crossJoin(F.broadcast(n)).withColumn("place", F.pmod(F.col("place") - start, F.col("_all")).cast("int")).drop("_all")  # one row of one count
 
 
 def recovered(submissions: DataFrame, batches: DataFrame) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import masks, spans
-from ..operators import campaign, decisions, records, refine, release
+from ..functions.binding import bound
+from ..operators import campaign, decisions, records, refine, release, requests
 from .registry import query
 
 GROUP = "struct<group_id:string,role:string,identity:string,text_spans:array<struct<start:int,end:int,text:string>>,tracklet_ids:array<string>>"
@@ -38,10 +39,11 @@ def annotated(docs: DataFrame) -> DataFrame:
     role = lambda g: F.when((g == 0) & (~F.col("negative") | (F.col("id") % 12 == 0)), "main_referent").otherwise("context_entity")
     ids = lambda g: F.when((F.col("id") % 47 == 0) & (g == 0), F.array().cast("array<string>")).otherwise(F.filter(F.array(F.concat(F.lit("t"), g.cast("string")), F.when(g % 2 == 0, F.concat(F.lit("t"), ((g + 1) % F.greatest(F.col("k"), F.lit(1))).cast("string")))), lambda x: x.isNotNull()))
     group = lambda g: F.struct(F.concat(F.lit("g"), g.cast("string")).alias("group_id"), role(g).alias("role"), F.concat(F.lit("e"), (g % 2).cast("string")).alias("identity"), F.filter(F.array(place(g * 4), F.when(g > 0, place(F.lit(0)))), lambda s: s.isNotNull()).alias("text_spans"), ids(g).alias("tracklet_ids"))
-    d = d.withColumn("tracklets", F.transform(_up_to(F.col("k")), track)).withColumn("groups", F.transform(_up_to(F.col("k")), group))
+    d = bound(d, tracklets=F.transform(_up_to(F.col("k")), track), groups=F.transform(_up_to(F.col("k")), group))
     right = F.when(F.col("negative"), F.when(F.col("k") > 0, "negative_with_context").otherwise("negative_unsegmentable")).when(F.col("k") == 0, "missing_main_referent").otherwise("complete_bcc")
     frames = F.transform(_up_to(F.col("nf")), lambda f: F.concat(F.lit("f"), f.cast("string")))
-    links = spans.links(F.col("groups"))
+    d = bound(d, links=spans.links(F.col("groups")))
+    links = F.col("links")
     return d.select(
         F.concat(F.lit("s"), F.col("id").cast("string")).alias("sample_id"),
         F.when(F.col("id") % 61 == 0, "old").otherwise(records.VERSION).alias("schema_version"),
@@ -442,3 +444,20 @@ def campaign_statistics(t):
 def media_candidates(t):
     p = decisions.media_candidates(["/m/"], F.array(F.concat(F.lit("/a/"), "source", F.lit(".zip")), F.lit("/a")))
     return t("documents").select("doc_id", F.array_join(p, "|").alias("paths"))
+
+
+@query(f"""WITH {FLAT}, use AS (SELECT t.id, t.i, t.nf FROM trk t JOIN rec r ON r.id = t.id WHERE r.id % 37 <> 0 AND r.id % 41 <> 0 AND r.nf > 0 AND r.k > 0 AND NOT r.negative AND r.id % 47 <> 0),
+st AS (SELECT u.id, u.i, u.nf, bool_or(m.c IS NOT NULL AND m.c < m.total) AS seen, string_agg(coalesce(CAST(m.c AS VARCHAR), '-'), ',' ORDER BY m.j) AS sign FROM use u JOIN msk m ON m.id = u.id AND m.i = u.i GROUP BY ALL),
+main AS (SELECT DISTINCT id, tid FROM gid WHERE role = 'main_referent'), sound AS (SELECT s.id FROM st s LEFT JOIN main m ON m.id = s.id AND m.tid = 't' || s.i GROUP BY s.id HAVING bool_and(seen OR m.tid IS NULL)),
+v AS (SELECT DISTINCT 'v' || (s.id // 4) AS v, s.nf, s.sign FROM st s JOIN sound o ON o.id = s.id WHERE s.seen)
+SELECT 'corpus::train::' || v AS video_key, count(*) AS tracks FROM v GROUP BY 1""")
+def visual_packet_tracks(t):
+    r = annotated(t("documents")).where("id % 37 <> 0 and id % 41 <> 0 and size(frame_ids) > 0 and size(tracklets) > 0 and not negative and id % 47 <> 0")
+    p = requests.visual_packets(refine.inspected(r), "prompt")
+    return p.select("video_key", F.explode("ids").alias("id")).distinct().groupBy("video_key").agg(F.count("*").alias("tracks"))
+
+
+@query(f"""WITH {FLAT}, ok AS (SELECT sample_id, row_number() OVER (ORDER BY sample_id) - 1 AS place FROM rec WHERE id % 6 = 0 AND id % 37 <> 0 AND id % 41 <> 0 AND nf > 0) SELECT string_agg(sample_id, ',' ORDER BY place) AS samples, CAST(least(16384, 4096 + 768 * count(*)) AS INT) AS max_output_tokens FROM ok GROUP BY place // 12""")
+def text_packets(t):
+    r = annotated(t("documents")).where("negative and id % 37 <> 0 and id % 41 <> 0 and size(frame_ids) > 0")
+    return requests.text_packets(refine.inspected(r), "prompt").select(F.array_join("samples", ",").alias("samples"), "max_output_tokens")
