@@ -178,15 +178,15 @@ def _parts(low: np.ndarray, starts: np.ndarray, ends: np.ndarray):
 
 
 def _segments(batches):
-    """Every text in consecutive segments of SEGMENT words; the last may be shorter."""
+    """Every text in consecutive segments of SEGMENT words between blanks; a shorter last one is filled by repeating it."""
     for b in batches:
-        langs, seqs = [], []
+        langs, segs = [], []
         for lang, text in zip(b["lang"].to_pylist(), b["text"].to_pylist(), strict=True):
             words = WORD.findall((text or "").translate(_LOWER))
             for at in range(0, len(words), SEGMENT):
                 langs.append(lang)
-                seqs.append(words[at : at + SEGMENT])
-        yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(seqs, pa.list_(pa.string()))], ["lang", "words"])
+                segs.append(" ".join((words[at : at + SEGMENT] * SEGMENT)[:SEGMENT]))
+        yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(segs, pa.string())], ["lang", "segment"])
 
 
 #: Words of a segment, and of the stretches that mixed ones are made of.
@@ -203,27 +203,23 @@ def trained(train: DataFrame, bound: int = 4_000, segments: int = 24_000, lexico
     learn of switches. The lexicon holds the segments' most frequent words. No rows: one label und.
     """
     some = train.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-    cut = train.join(F.broadcast(some), "doc_id").select("lang", "text").mapInArrow(_segments, "lang string, words array<string>")
-    got = cut.orderBy(F.xxhash64("words"), "lang", "words").limit(segments).toArrow()
-    rows = sorted(zip(got["lang"].to_pylist(), got["words"].to_pylist(), strict=True))
-    if not rows:
+    cut = train.join(F.broadcast(some), "doc_id").select("lang", "text").mapInArrow(_segments, "lang string, segment string")
+    got = cut.orderBy(F.xxhash64("segment"), "lang", "segment").limit(segments).toArrow().sort_by([("lang", "ascending"), ("segment", "ascending")])
+    if not got.num_rows:
         return ChainCRF(["und"], np.zeros(0, np.uint64))
+    langs = got["lang"].to_pylist()
+    labels = sorted(set(langs))
+    buf, offs = packed(got["segment"])
+    low, starts, ends, _ = word_spans(buf[offs[0] : offs[-1]], offs - offs[0])
+    seqs = np.arange(len(starts)).reshape(-1, SEGMENT)
+    y = np.repeat(np.array([labels.index(x) for x in langs])[:, None], SEGMENT, axis=1)
     rng = np.random.default_rng(3)
-    full = [(x, (w * SEGMENT)[:SEGMENT]) for x, w in rows]
-    labels = sorted({x for x, _ in full})
-    words = [[*w] for _, w in full]
-    y = [[labels.index(x)] * SEGMENT for x, _ in full]
-    for i, j in rng.integers(0, len(full), (len(full) // 2, 2)).tolist():
-        other = np.repeat(rng.random(SEGMENT // STRETCH) < 0.5, STRETCH)
-        words.append([words[j if k else i][n] for n, k in enumerate(other)])
-        y.append([y[j if k else i][n] for n, k in enumerate(other)])
-    raw = [w.encode() for s in words for w in s]
-    buf = np.frombuffer(b"".join(raw), np.uint8)
-    ends = np.cumsum([len(w) for w in raw])
-    starts = ends - [len(w) for w in raw]
-    h, n = np.unique(span_hash(buf, starts, ends), return_counts=True)
+    i, j = rng.integers(0, len(seqs), (2, len(seqs) // 2))
+    other = np.repeat(rng.random((len(i), SEGMENT // STRETCH)) < 0.5, STRETCH, axis=1)
+    seqs, y = (np.concatenate([x, np.where(other, x[j], x[i])]) for x in (seqs, y))
+    h, n = np.unique(span_hash(low, starts, ends), return_counts=True)
     lexicon = np.sort(h[np.argsort(-n, kind="stable")[:lexicon_size]])
-    return ChainCRF(labels, lexicon).fit(buf, starts, ends, np.arange(len(raw)).reshape(-1, SEGMENT), np.array(y))
+    return ChainCRF(labels, lexicon).fit(low, starts, ends, seqs, y)
 
 
 def languages(docs: DataFrame, folds: int = 3, held: int = 1, bound: int = 4_000, segments: int = 24_000, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
