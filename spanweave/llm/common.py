@@ -191,11 +191,13 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         least = kept(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         near = kept(both.join(least, "u"), "near")
         if near.where("(v < u and m <> v) or (v > u and m <> u)").isEmpty():
+            forget(near, least)
             break
         large = near.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = kept(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low)
-        e = kept(small.where("u <> v").distinct(), "edges")
+        done, e = (e, least, near, low), kept(small.where("u <> v").distinct(), "edges")
+        forget(*done)
     else:
         raise RuntimeError("components did not settle")
     top = e.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component"))
