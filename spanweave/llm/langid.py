@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .common import _BYTE, WORD, checked, mix, packed, pieces, span_hash, word_spans
 
 SPACE = 1 << 18
-BLOCK_BYTES = 3 << 20
+BLOCK_BYTES = 3 << 19
 
 
 def word_features(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lexicon: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,8 +113,10 @@ class ChainCRF:
         """Adagrad on the negative log-likelihood of sequences (rows of word numbers) with labels y, all of one length."""
         h = span_hash(raw, starts, ends)
         _, uniq, back = np.unique(h, return_index=True, return_inverse=True)
-        f, at = word_features(raw, starts[uniq], ends[uniq], self.lexicon)
-        size = np.diff(np.append(at, len(f)))
+        parts = [word_features(raw, starts[u], ends[u], self.lexicon) for u in np.array_split(uniq, len(uniq) // 10_000 + 1)]
+        f = np.concatenate([p.astype(np.int32) for p, _ in parts])
+        size = np.concatenate([np.diff(np.append(a, len(p))) for p, a in parts])
+        at = np.cumsum(size) - size
         rng, n = np.random.default_rng(9), len(self.labels)
         gw, gt = np.full(self.w.shape, 1e-4, np.float32), np.full(self.trans.shape, 1e-4)
         length = sequences.shape[1]
