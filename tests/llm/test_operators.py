@@ -268,6 +268,24 @@ def test_repeats_beyond_the_first_holder(spark):
     assert all(got[i].dup_words == 54 and got[i].spans[0]["source"] == i - 1 for i in want) and got[101].dup_words == 55
 
 
+def test_near_copies_past_first_holders(spark):
+    """A near copy is found where the first holders of its shingles are other documents than its source."""
+    rows, want = [], {}
+    for k in range(24):
+        notice, more = prose(24, 5000 + 2 * k), prose(31, 5001 + 2 * k)
+        near = (notice + " " + more).split()
+        near[[3, 30, 50][k % 3]] = "edited"
+        rows += [(4 * k, prose(60, 5100 + k) + " " + notice), (4 * k + 1, prose(40, 5200 + k) + " " + more[len(more) // 3 :]), (4 * k + 2, notice + " " + more + " " + prose(60, 5300 + k)), (4 * k + 3, prose(60, 5400 + k) + " " + " ".join(near))]
+        want[4 * k + 3] = 4 * k + 2
+    # the source's own windows lie in a passage that is verified, and the copy's first holder has too little of it
+    for k in range(8):
+        a, b = prose(60, 5500 + k), prose(20, 5600 + k)
+        rows += [(200 + 3 * k, a + " " + prose(50, 5700 + k)), (201 + 3 * k, a + " " + b), (202 + 3 * k, prose(50, 5800 + k) + " " + " ".join(a.split()[20:]) + " " + b)]
+        want |= {201 + 3 * k: 200 + 3 * k, 202 + 3 * k: 201 + 3 * k}
+    got = by_id(without_repeats(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert {i: r.spans[0]["source"] for i, r in got.items() if r.dup_words} == want
+
+
 def test_passages_find_copies_beside_repeated_shingles():
     own = np.arange(1000, 1060, dtype=np.uint32)
     for back in (10, 20, 30, 45, 58, 80):
