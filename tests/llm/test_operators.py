@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from spanweave.llm import common
+from spanweave.llm import common, windows
 from spanweave.llm.bpe import bpe_encoded, tokenizer
 from spanweave.llm.langid import ChainCRF, languages
 from spanweave.llm.lattice import Lattice, lattice_scores
@@ -286,6 +286,25 @@ def test_near_copies_past_first_holders(spark):
     assert {i: r.spans[0]["source"] for i, r in got.items() if r.dup_words} == want
 
 
+def test_lines_beside_repeated_words_meet_few_others(spark, monkeypatch):
+    """A common line beside runs of repeated words is no passage, so its windows meet no further holders; copies are still found."""
+    line = prose(13, 6000)
+    rows = [(k, prose(60, 6100 + k) + " " + line + " " + prose(60, 6200 + k)) for k in range(60)]
+    rows += [(100 + k, " ".join(f"w{k}x{j} " * 16 for j in range(4)) + line) for k in range(30)]
+    near = ("w7x2 " * 16 + "w7x3 " * 16 + line + " " + prose(40, 6300)).split()
+    rows += [(150, prose(20, 6400) + " " + " ".join(near)), (151, prose(20, 6500) + " " + " ".join(near[:60] + ["edited"] + near[61:]))]
+    met, verified = [], windows._verified
+
+    def counted(d, pairs, *args, **how):
+        met.append(pairs.count())
+        return verified(d, pairs, *args, **how)
+
+    monkeypatch.setattr(windows, "_verified", counted)
+    got = by_id(without_repeats(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got[151].spans[0]["source"] == 150 and {i for i, r in got.items() if r.dup_words and i < 150} == set()
+    assert sum(met[1:]) < 200
+
+
 def test_passages_find_copies_beside_repeated_shingles():
     own = np.arange(1000, 1060, dtype=np.uint32)
     for back in (10, 20, 30, 45, 58, 80):
