@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BYTE, WORD, checked, mix, packed, pieces, span_hash, word_spans
+from .common import _BYTE, WORD, checked, lean, mix, packed, pieces, span_hash, word_spans
 
 SPACE = 1 << 18
 BLOCK_BYTES = 3 << 19
@@ -179,6 +179,7 @@ def _parts(low: np.ndarray, starts: np.ndarray, ends: np.ndarray):
         i = j
 
 
+@lean
 def _segments(batches):
     """Every text in consecutive segments of SEGMENT words between blanks; a shorter last one is filled by repeating it."""
     for b in batches:
@@ -238,6 +239,7 @@ def languages(docs: DataFrame, folds: int = 3, held: int = 1, bound: int = 4_000
     d = d.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string"), F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == held, F.lit(False)).alias("held_out"))
     model = docs.sparkSession.sparkContext.broadcast(trained(d.where("not held_out and lang is not null and text is not null"), bound, segments))
 
+    @lean
     def run(batches):
         crf = model.value
         for b in batches:

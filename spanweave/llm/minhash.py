@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checked, components, kept, mix, row_words, shingled
+from .common import checked, components, kept, lean, mix, row_words, shingled
 
 SPACE = 1 << 20
 _RNG = np.random.Generator(np.random.PCG64(77))
@@ -45,6 +45,7 @@ def set_prints(s: np.ndarray) -> tuple[int, int]:
 
 
 def _signer(width: int, bands: int, rows: int):
+    @lean
     def run(batches):
         view = rows_of(bands * rows)
         weight = mix(np.arange(1, rows + 1, dtype=np.uint64)) | np.uint64(1)
@@ -70,6 +71,7 @@ def _signer(width: int, bands: int, rows: int):
 def _setter(width: int):
     """The set of each text, if it is the one that the row's prints name."""
 
+    @lean
     def run(batches):
         for b in batches:
             want = zip(*(b[c].to_pylist() for c in ("n_shingles", "fp1", "fp2")), strict=True)
@@ -84,6 +86,7 @@ def _setter(width: int):
     return run
 
 
+@lean
 def _lister(batches):
     for b in batches:
         ids = b["doc_id"].to_pylist()
@@ -93,6 +96,7 @@ def _lister(batches):
 
 
 def _verifier(percent: int):
+    @lean
     def run(batches):
         for b in batches:
             last, left, out = None, None, []

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from spanweave.llm import common, windows
+from spanweave.llm import common, minhash, windows
 from spanweave.llm.bpe import bpe_encoded, tokenizer
 from spanweave.llm.langid import ChainCRF, languages
 from spanweave.llm.lattice import Lattice, lattice_scores
@@ -305,6 +305,20 @@ def test_lines_beside_repeated_words_meet_few_others(spark, monkeypatch):
     assert sum(met[1:]) < 200
 
 
+def test_tasks_return_free_memory(monkeypatch):
+    released = []
+
+    class Pool:
+        def release_unused(self):
+            released.append(True)
+
+    monkeypatch.setattr(pa, "default_memory_pool", Pool)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["a b c"]})
+    for run in (minhash._signer(5, 48, 8), windows._windower(5, 46, 3)):
+        list(run([batch]))
+    assert len(released) == 2
+
+
 def test_passages_find_copies_beside_repeated_shingles():
     own = np.arange(1000, 1060, dtype=np.uint32)
     for back in (10, 20, 30, 45, 58, 80):
