@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BYTE, WORD, checked, lean, mix, packed, pieces, span_hash, word_spans
+from .common import _BYTE, WORD, checked, give_back, lean, mix, packed, pieces, span_hash, word_spans
 
 SPACE = 1 << 18
 BLOCK_BYTES = 3 << 19
@@ -238,6 +238,7 @@ def languages(docs: DataFrame, folds: int = 3, held: int = 1, bound: int = 4_000
     d = checked(docs, doc_id=id_col, text=text_col, lang=lang_col)
     d = d.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string"), F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == held, F.lit(False)).alias("held_out"))
     model = docs.sparkSession.sparkContext.broadcast(trained(d.where("not held_out and lang is not null and text is not null"), bound, segments))
+    give_back()  # what the fit took, for a driver that goes on to other steps
 
     @lean
     def run(batches):

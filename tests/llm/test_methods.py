@@ -9,14 +9,14 @@ import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from spanweave.llm import media
+from spanweave.llm import langid, media
 from spanweave.llm.common import mix
 from spanweave.llm.langid import ChainCRF
 from spanweave.llm.lattice import Lattice, lattice_scores, vocabulary
 from spanweave.llm.minhash import FIRST, SECOND, SPACE, circulant, rows_of
 from spanweave.llm.pii import pseudonymised
 from spanweave.llm.toxicity import FactorizationMachine
-from spanweave.llm.windows import rarest_windows, unsettled_starts
+from spanweave.llm.windows import _rarest, rarest_windows, unsettled_starts
 
 
 def test_log_mel_is_that_of_a_plain_transform():
@@ -175,6 +175,40 @@ def test_rarest_shingle_is_the_centre():
     assert left[c.tolist().index(12)] <= 8 and right[c.tolist().index(12)] >= 16 and 40 not in c
 
 
+def test_a_common_line_beside_one_word_over_and_over_is_no_centre():
+    # shingles of the line, four of its end and the word's start, then the word's alone
+    keys = np.concatenate([np.arange(13), np.full(48, 99)])
+    holders = np.concatenate([np.full(9, 4000), np.full(4, 2), np.full(48, 50)])
+    times = np.concatenate([np.ones(13, np.int64), np.full(48, 48)])
+    for held in (np.zeros(61, bool), np.arange(61) >= 9):  # also where a passage holds the rest
+        own, centre, *_ = next(_rarest(np.arange(61), keys, holders, 46, 31, 80, times, held))
+        assert len(own) == 61 and not centre[:9].any() and centre[9:13].any()
+
+
+def test_most_lacking_shingles_of_runs():
+    from spanweave.llm.windows import most_lacking
+
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        t, n = int(rng.integers(3, 9)), int(rng.integers(9, 40))
+        doc = rng.integers(0, rng.integers(2, 30), n)
+        times = {k: int((doc == k).sum() + (rng.random() < 0.3)) for k in doc.tolist()}  # some stand elsewhere in the text, too
+        each = np.array([times[k] for k in doc.tolist()])
+        given, copied = (each > 1) | (rng.random(n) < 0.5), rng.random(n) < 0.8
+        v = np.where(given, doc + 1000, np.arange(n)).astype(np.uint64)
+        at = np.flatnonzero(given)
+        for x, got in enumerate(most_lacking(v, copied, at, each[at], t, 80).tolist()):
+            near = range(max(0, x - t + 1), min(n, x + 2 * t - 1))
+            before = {k for k in doc[x : x + t][given[x : x + t]].tolist() if k in doc[:x] or times[k] > (doc == k).sum()}
+            assert got == min(20 * len({int(v[i]) for i in near if copied[i]}) // 100 + len(before), 40 * t // 120)
+
+
+def test_the_driver_returns_what_the_fit_took(spark, monkeypatch):
+    called = []
+    monkeypatch.setattr(langid, "give_back", lambda: called.append(1))
+    assert langid.languages(spark.createDataFrame([(1, "a b", "en")], "doc_id long, text string, lang string")).count() == 1 and called
+
+
 def test_names_follow_their_full_form(spark):
     rows = [(1, "Mr John Smith came. Mr Smith left. Mrs Smith stayed."), (2, "Mr Smith"), (3, "Mr John Smith and Mr Adam Smith, then Mr Smith"), (4, "Dear Mr John Smith")]
     got = {r.doc_id: r.text for r in pseudonymised(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
