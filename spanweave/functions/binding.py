@@ -15,3 +15,8 @@ def bound(df: DataFrame, **columns: Column) -> DataFrame:
     cols = [c for c in df.columns if c not in columns]
     made = F.struct(*[c.alias(n) for n, c in columns.items()])
     return df.select(*cols, F.explode(F.array(made)).alias("_bound")).select(*cols, *[F.col("_bound").getField(n).alias(n) for n in columns])
+
+
+def let(value: Column, use) -> Column:
+    """use(value) within an expression, with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
