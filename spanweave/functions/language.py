@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import spans
+from .binding import let
 
 # Word lists and patterns that decisions depend on.
 ABSTRACT = "background beginning exercise family foreground front frame genus image left matter motion order place position race right screen side strike subject thing view video".split()
@@ -18,6 +19,7 @@ BODY_PARTS = "arm face foot hand head leg mouth paw tail trunk wing".split()
 TAXONOMY = "family genus order species".split()
 ACTIONS = "hang hanging leaning running seating sitting standing talking wearing".split()
 PRONOUNS = "he her hers him his its she that their them they who whose".split()
+NO_HEADS = "he her him his it its she that their them they which who whose".split()
 REFERENCES = "nsubj nsubjpass poss relcl attr dobj pobj".split()
 SUBJECTS = "nsubj nsubjpass ROOT attr dobj".split()
 MODIFIERS = "amod compound nmod".split()
@@ -88,10 +90,15 @@ def candidate(index: Column, text: Column, start: Column, end: Column, head: Col
 
 def lemma(word: Column) -> Column:
     """Lower case, without a plural in brackets and without what is no letter or digit at both ends."""
-    plain = F.regexp_replace(F.lower(F.trim(word)), r"\((?:e?s)\)?", "")
+    plain = F.regexp_replace(F.replace(F.lower(F.trim(word)), F.lit("ß"), F.lit("ss")), r"\((?:e?s)\)?", "")
     return F.regexp_replace(plain, r"^[^a-z0-9]+|[^a-z0-9]+$", "")
 
 
+def stem(token: Column) -> Column:
+    """A token's lemma, or that of its text where the parser gave none."""
+    return lemma(F.coalesce(F.nullif(token["lemma"], F.lit("")), token["text"]))
+
+
 def candidate_span(text: Column, start: Column, end: Column) -> Column:
     """Offsets without outer blanks and marks at the end; a bracket that closes a plural "(s" is taken in."""
     t = spans.trimmed(text, start, end)
@@ -111,21 +118,26 @@ def question_target(text: Column) -> Column:
 
 def prompt(tokens: Column, root: Column) -> Column:
     """A noun phrase's words to look for: its modifiers and its head as lemmas, each once; "t v" is television."""
-    some = F.filter(tokens, lambda t: (t["i"] < root["i"]) & t["dep"].isin(MODIFIERS) & t["text"].rlike(r"^\p{L}+$") & ~lemma(t["lemma"]).isin(PLACES))
-    words = F.filter(F.array_distinct(F.concat(F.transform(some, lambda t: lemma(t["lemma"])), F.array(lemma(root["lemma"])))), lambda w: w != "")
+    some = F.filter(tokens, lambda t: (t["i"] < root["i"]) & t["dep"].isin(MODIFIERS) & t["text"].rlike(r"^\p{L}+$") & ~stem(t).isin(PLACES))
+    words = F.filter(F.array_distinct(F.concat(F.transform(some, lambda t: stem(t)), F.array(stem(root)))), lambda w: w != "")
     return F.regexp_replace(F.regexp_replace(F.array_join(words, " "), r"\bflatscreen\s+t\s+v\b", "television"), r"\bt\s+v\b", "television")
 
 
 def head_in(tokens: Column, start: Column, end: Column, fallback: Column) -> Column:
     """The last noun that begins in the span."""
-    nouns = F.filter(tokens, lambda t: (t["start"] >= start) & (t["start"] < end) & t["pos"].isin("NOUN", "PROPN") & (lemma(t["lemma"]) != ""))
-    return F.coalesce(lemma(F.try_element_at(nouns, F.lit(-1))["lemma"]), fallback)
+    nouns = F.filter(tokens, lambda t: (t["start"] >= start) & (t["start"] < end) & t["pos"].isin("NOUN", "PROPN") & (stem(t) != ""))
+    return F.coalesce(stem(F.try_element_at(nouns, F.lit(-1))), fallback)
 
 
 def without_actions(text: Column, tokens: Column, start: Column, end: Column) -> Column:
-    """The span without verbs and words of action at its end."""
+    """The span without outer blanks, marks at its end, and then verbs and words of action at its end."""
+    at = candidate_span(text, start, end)
+    return let(at, lambda a: _before_actions(text, tokens, a["start"], a["end"]))
+
+
+def _before_actions(text: Column, tokens: Column, start: Column, end: Column) -> Column:
     own = F.reverse(F.filter(tokens, lambda t: (t["start"] >= start) & (t["start"] < end)))
-    acts = lambda t: lemma(t["lemma"]).isin(ACTIONS) | t["pos"].isin("VERB", "AUX")
+    acts = lambda t: stem(t).isin(ACTIONS) | t["pos"].isin("VERB", "AUX")
     first = F.struct(end.cast("int").alias("end"), F.lit(True).alias("on"))
     step = lambda a, t: F.struct(F.when(a["on"] & acts(t), t["start"].cast("int")).otherwise(a["end"]).alias("end"), (a["on"] & acts(t)).alias("on"))
     return spans.trimmed(text, start, F.aggregate(own, first, step)["end"])
@@ -145,8 +157,8 @@ def coreferences(tokens: Column, start: Column, end: Column) -> Column:
 
 def body_parts(tokens: Column, covered: Column) -> Column:
     """Tokens that name a part of a body and lie in no candidate (start, end, head) of that head."""
-    there = lambda t: F.exists(covered, lambda c: (c["start"] <= t["start"]) & (t["start"] < c["end"]) & (c["head"] == lemma(t["lemma"])))
-    return F.filter(tokens, lambda t: lemma(t["lemma"]).isin(BODY_PARTS) & ~there(t))
+    there = lambda t: F.exists(covered, lambda c: (c["start"] <= t["start"]) & (t["start"] < c["end"]) & (c["head"] == stem(t)))
+    return F.filter(tokens, lambda t: stem(t).isin(BODY_PARTS) & ~there(t))
 
 
 def grouped_prompts(contexts: Column) -> Column:
@@ -160,11 +172,6 @@ def _raw(start: Column, end: Column, head: Column, words: Column, sure: bool) ->
     return F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), head.alias("head"), words.alias("prompt"), F.lit(sure).alias("sure"))
 
 
-def _let(value: Column, use) -> Column:
-    """use(value), with the value computed once: expressions that name it again and again would grow with each level."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 RAW = "array<struct<start:int,end:int,head:string,prompt:string,sure:boolean>>"
 
 
@@ -178,18 +185,18 @@ def phrases(text: Column, tokens: Column, chunks: Column, place: Column) -> Colu
     def owned(c: Column) -> Column:
         owners = F.filter(c["tokens"], lambda t: (t["dep"] == "poss") & t["pos"].isin("NOUN", "PROPN"))
         first = lambda t: F.array_min(F.concat(F.array(t["start"]), F.transform(F.filter(tokens, lambda d: (d["head"] == t["i"]) & (d["i"] < t["i"]) & (d["dep"] == "det")), lambda d: d["start"])))
-        each = F.transform(owners, lambda t: _raw(first(t), t["start"] + F.length(t["text"]), lemma(t["lemma"]), lemma(t["lemma"]), True))
+        each = F.transform(owners, lambda t: _raw(first(t), t["start"] + F.length(t["text"]), stem(t), stem(t), True))
         return F.filter(each, lambda r: ~((r["start"] >= start) & (r["end"] <= end)))
 
     def of_chunk(c: Column) -> Column:
-        read = F.struct(candidate_span(text, c["start"], c["end"]).alias("at"), lemma(c["root"]["lemma"]).alias("word"), prompt(c["tokens"], c["root"]).alias("said"))
+        read = F.struct(candidate_span(text, c["start"], c["end"]).alias("at"), stem(c["root"]).alias("word"), prompt(c["tokens"], c["root"]).alias("said"))
 
         def made(x: Column) -> Column:
             inside = ((x["at"]["start"] >= start) & (x["at"]["end"] <= end)) | ((x["at"]["start"] <= start) & (start < x["at"]["end"]))
-            some = (x["word"] != "") & ~inside & ~x["word"].isin(*PRONOUNS, "it", "which")
+            some = (x["word"] != "") & ~inside & ~x["word"].isin(*NO_HEADS)
             return F.when(some, F.concat(F.array(_raw(x["at"]["start"], x["at"]["end"], x["word"], F.nullif(x["said"], F.lit("")), False)), owned(c))).otherwise(none)
 
-        return _let(read, made)
+        return let(read, made)
 
     key = lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), r["head"].alias("head"))
 
@@ -198,10 +205,10 @@ def phrases(text: Column, tokens: Column, chunks: Column, place: Column) -> Colu
         return F.filter(named, lambda r, i: F.array_position(keys, key(r)) == i + 2)
 
     def with_parts(named: Column) -> Column:
-        parts = F.transform(body_parts(tokens, F.concat(F.array(key(place)), F.transform(named, key))), lambda t: _raw(t["start"], t["start"] + F.length(t["text"]), lemma(t["lemma"]), lemma(t["lemma"]), True))
+        parts = F.transform(body_parts(tokens, F.concat(F.array(key(place)), F.transform(named, key))), lambda t: _raw(t["start"], t["start"] + F.length(t["text"]), stem(t), stem(t), True))
         return F.concat(named, parts)
 
-    return _let(_let(F.flatten(F.transform(chunks, of_chunk)), once), with_parts)
+    return let(let(F.flatten(F.transform(chunks, of_chunk)), once), with_parts)
 
 
 def extraction(text: Column, negative: Column, tokens: Column, chunks: Column, category: Column) -> Column:
@@ -213,9 +220,9 @@ def extraction(text: Column, negative: Column, tokens: Column, chunks: Column, c
     is_who = text.rlike(r"(?i)^\s*who\b")
 
     def first(x: Column) -> Column:
-        own = F.when(x["chunk"].isNotNull(), without_actions(text, tokens, x["chunk"]["start"], x["chunk"]["end"]))
+        own = F.when(x["chunk"].isNotNull(), without_actions(text, x["chunk"]["tokens"], x["chunk"]["start"], x["chunk"]["end"]))
         at = F.coalesce(x["asked"], own, F.struct(F.lit(0).alias("start"), F.length(text).alias("end")))
-        return F.struct(at.alias("at"), x["asked"].isNotNull().alias("asked"), x["chunk"].isNotNull().alias("named"), lemma(x["chunk"]["root"]["lemma"]).alias("root"))
+        return F.struct(at.alias("at"), x["asked"].isNotNull().alias("asked"), x["chunk"].isNotNull().alias("named"), stem(x["chunk"]["root"]).alias("root"))
 
     def headed(x: Column) -> Column:
         noun = head_in(tokens, x["at"]["start"], x["at"]["end"], F.when(x["asked"], "entity").otherwise(x["root"]))
@@ -223,7 +230,7 @@ def extraction(text: Column, negative: Column, tokens: Column, chunks: Column, c
         return F.struct(x["at"].alias("at"), head.alias("head"))
 
     def placed(x: Column) -> Column:
-        return _let(repaired_at(x), lambda p: F.struct(p["start"].cast("int").alias("start"), p["end"].cast("int").alias("end"), x["head"].alias("head")))
+        return let(repaired_at(x), lambda p: F.struct(p["start"].cast("int").alias("start"), p["end"].cast("int").alias("end"), x["head"].alias("head")))
 
     def repaired_at(x: Column) -> Column:
         return spans.repaired(text, x["at"]["start"], x["at"]["end"], x["head"])
@@ -235,12 +242,12 @@ def extraction(text: Column, negative: Column, tokens: Column, chunks: Column, c
             wanted = x == "prompt_sam3.1"
             return F.struct(F.concat(F.lit("entity-"), F.lpad((i + 1).cast("string"), 2, "0")).alias("candidate_id"), F.when(wanted, "context_sam").otherwise("special_handling").alias("role"), spans.cut(text, r["start"], r["end"]).alias("surface"), r["start"].alias("start"), r["end"].alias("end"), r["head"].alias("head"), F.when(wanted, F.coalesce(r["prompt"], r["head"])).alias("sam_prompt"), x.alias("decision"), wanted.alias("required_by_bcc"))
 
-        return _let(what, told)
+        return let(what, told)
 
     def whole(place: Column) -> Column:
         target = F.struct(F.lit("entity-00").alias("candidate_id"), F.lit("target_gt").alias("role"), spans.cut(text, place["start"], place["end"]).alias("surface"), place["start"].alias("start"), place["end"].alias("end"), place["head"].alias("head"), place["head"].alias("sam_prompt"))
         split = lambda every: F.struct(target.alias("target"), coreferences(tokens, place["start"], place["end"]).alias("coreferences"), F.filter(every, lambda c: c["required_by_bcc"]).alias("contexts"), F.filter(every, lambda c: ~c["required_by_bcc"]).alias("ignored"))
-        return _let(F.transform(phrases(text, tokens, chunks, place), numbered), split)
+        return let(F.transform(phrases(text, tokens, chunks, place), numbered), split)
 
     begun = F.struct(question_target(text).alias("asked"), target_chunk(chunks).alias("chunk"))
-    return F.when(~negative, _let(_let(_let(_let(begun, first), headed), placed), whole))
+    return F.when(~negative, let(let(let(let(begun, first), headed), placed), whole))

@@ -77,9 +77,13 @@ def segments(text: Column, marks: Column) -> Column:
 
 
 def nearest(text: Column, phrase: Column, at: Column) -> Column:
-    """Where the phrase stands in the text nearest to an offset (the leftmost of two), or null."""
-    last = F.length(text) - F.length(phrase)
-    places = F.when((last >= 0) & (F.length(phrase) > 0), F.filter(F.sequence(F.lit(0), last), lambda i: F.substring(text, i + 1, F.length(phrase)) == phrase))
+    """Where the phrase stands in the text nearest to an offset (the leftmost of two), or null. Places are looked for
+    from the left, each after the end of the one before."""
+    size, last = F.length(phrase), F.length(text) - F.length(phrase)
+    every = F.when((last >= 0) & (size > 0), F.filter(F.sequence(F.lit(0), last), lambda i: F.substring(text, i + 1, size) == phrase))
+    first = F.struct(F.array().cast("array<int>").alias("out"), F.lit(0).alias("free"))
+    step = lambda a, i: F.when(i >= a["free"], F.struct(F.concat(a["out"], F.array(i)).alias("out"), (i + size).alias("free"))).otherwise(a)
+    places = F.aggregate(every, first, step)["out"]
     return F.array_min(F.transform(places, lambda i: F.struct(F.abs(i - at).alias("far"), i.alias("start"))))["start"]
 
 

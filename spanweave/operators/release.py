@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import stable_key
+from .steps import running
 
 #: Upper ends of the density bins; a batch's price beside single requests, and the margin on it.
 BINS = ((2, "0–2"), (5, "3–5"), (12, "6–12"))
@@ -172,14 +175,7 @@ def covered(replies: DataFrame, packets: DataFrame) -> DataFrame:
 
 
 def sharded(rows: DataFrame, size: str, most: int, order: list[str]) -> DataFrame:
-    """shard: rows in order of `order`, a shard of about `most` units of `size`: a row's shard is that in which it begins.
-
-    Sizes are summed by range of the order first, so no task sees all rows.
-    """
-    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    r = rows.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id())
-    before = Window.partitionBy("_p").orderBy(*order)
-    r = r.withColumn("_b", F.coalesce(F.sum(size).over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    sums = r.groupBy("_p").agg(F.sum(size).alias("_t"))
-    base = sums.withColumn("_base", F.coalesce(F.sum("_t").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_t")
-    return r.join(F.broadcast(base), "_p").withColumn("shard", F.floor((F.col("_base") + F.col("_b")) / most).cast("int")).select(*rows.columns, "shard")
+    """shard: rows in order of `order`, a shard of about `most` units of `size`: a row's shard is that in which it begins."""
+    before = f"_before_{uuid.uuid4().hex}"
+    r = running(rows, F.coalesce(size, F.lit(0)), order, before)
+    return r.withColumn("shard", F.floor(F.col(before) / most).cast("int")).select(*rows.columns, "shard")

@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import masks
 from . import refine
+from .steps import running
 
 
 def numbered(df: DataFrame, *order: str) -> DataFrame:
-    """place: each row's number from 0 in this order, by range: rows are numbered in their range and ranges by their sums,
-    so no task sorts all rows."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id())
-    n = r.groupBy("_p").agg(F.count("*").alias("_n"))
-    base = n.withColumn("_b", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    rank = F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1 + F.col("_b")
-    return r.join(F.broadcast(base), "_p").withColumn("place", rank).drop("_p", "_b")  # a row for each range, which the setting bounds
+    """place: each row's number from 0 in this order; no task sorts all rows."""
+    return running(df, F.lit(1), list(order), "place")
 
 
 def request_id(*parts: Column) -> Column:
@@ -44,14 +40,22 @@ def text_packets(inspected: DataFrame, prompt: str, size: int = refine.PACKET) -
     return p.select(request_id(F.lit("nlp"), F.lit(prompt), F.col("expressions")).alias("request_id"), "samples", "expressions", "mapping", refine.reply_tokens(F.size("samples")).alias("max_output_tokens"))
 
 
+def visual_tracks(inspected: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(video_key, sample_id, place, tracklet_id, source, sam_prompt, visible, sign, visual_id) of sound records' kept
+    tracks, mains first. Tracks alike in all frames have one visual id in all records of a video."""
+    sound = inspected.where("reason is null").withColumn("video_key", F.concat_ws("::", "dataset", "split", "video_id"))
+    own = F.transform("kept", lambda k: F.get(F.filter("tracklets", lambda t: t["tracklet_id"] == k), F.lit(0)))
+    each = sound.select("video_key", "sample_id", "frame_ids", F.posexplode(own).alias("place", "t"))
+    sign = F.sha2(F.to_json(F.struct(F.col("frame_ids").alias("f"), F.col("t.masks").alias("m")), {"ignoreNullFields": "false"}), 256)
+    each = each.select("video_key", "sample_id", "place", "t.tracklet_id", "t.source", "t.sam_prompt", masks.visible(F.col("t.masks")).alias("visible"), sign.alias("sign"))
+    return each.join(refine.visual_ids(each, known), ["video_key", "sign"])
+
+
 def visual_packets(inspected: DataFrame, prompt: str, known: DataFrame | None = None) -> DataFrame:
     """(request_id, video_key, samples, ids, max_output_tokens): a video's sound records in order, packed by number and by
     the union of their tracks. Tracks alike in all frames have one visual id in all records of a video."""
     sound = inspected.where("reason is null").withColumn("video_key", F.concat_ws("::", "dataset", "split", "video_id"))
-    own = F.filter("tracklets", lambda t: F.array_contains(F.col("kept"), t["tracklet_id"]))
-    each = sound.select("video_key", "sample_id", "frame_ids", F.posexplode(own).alias("place", "t"))
-    each = each.withColumn("sign", F.sha2(F.to_json(F.struct(F.col("frame_ids").alias("f"), F.col("t.masks").alias("m")), {"ignoreNullFields": "false"}), 256)).drop("frame_ids", "t")
-    named = each.join(refine.visual_ids(each, known), ["video_key", "sign"])
+    named = visual_tracks(inspected, known)
     ids = named.groupBy("video_key", "sample_id").agg(F.array_sort(F.collect_set("visual_id")).alias("ids"))
     items = sound.select("video_key", "sample_id").join(ids, ["video_key", "sample_id"], "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))
     packed = refine.chunks(items, "video_key", "sample_id", "ids")

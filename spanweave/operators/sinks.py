@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .records import rename
+from .records import _fs, rename, write_text
+from .release import sharded
 
 NAME = r"^[A-Za-z0-9][A-Za-z0-9_.-]*$"
 
@@ -67,3 +69,36 @@ def request_lines(requests: DataFrame, most_bytes: int, most: int) -> DataFrame:
 def named_assets(payloads: DataFrame, suffix: str) -> DataFrame:
     """(name, payload): payloads under the SHA-256 of their bytes, each once."""
     return payloads.select(F.concat(F.sha2("payload", 256), F.lit(suffix)).alias("name"), "payload").dropDuplicates(["name"])
+
+
+def write_shards(rows: DataFrame, out: str, size: str, most: int, order: list[str], counted: str | None = None, **said) -> dict:
+    """Files train-00000.parquet and so on under `out`, each of about `most` units of the column `size` in this order, and
+    processing.json, which says each file's rows and SHA-256, rows by `counted`, and what else is `said`; returns it.
+
+    A shard is one task and one file; digests are those of the bytes that lie there. All is staged and renamed at the
+    end. No rows end the job, for nothing would be published.
+    """
+    spark = rows.sparkSession
+    stage = f"{out.rstrip('/')}.{uuid.uuid4().hex}.part"
+    placed = sharded(rows, size, most, order)
+    placed.repartition("shard").sortWithinPartitions("shard", *order).write.partitionBy("shard").option("compression", "zstd").parquet(f"{stage}/data")
+    made = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(f"{stage}/data")
+    files = made.select(F.regexp_extract("path", r"shard=(\d+)", 1).cast("int").alias("shard"), "path", F.sha2("content", 256).alias("sha256"), "length").orderBy("shard").collect()  # a row for each file
+    if not files:
+        raise ValueError("no rows to publish")
+    there = spark.read.parquet(f"{stage}/data")
+    count = {r["shard"]: r["count"] for r in there.groupBy("shard").count().collect()}
+    tally = {r[0]: r["count"] for r in there.groupBy(counted).count().orderBy(counted).collect()} if counted else {}
+    listed = []
+    for n, f in enumerate(files):  # one for each shard
+        name = f"train-{n:05d}.parquet"
+        (old, fs), (new, _) = _fs(spark, f["path"]), _fs(spark, f"{stage}/{name}")
+        if not fs.rename(old, new):
+            raise OSError(f"{f['path']} can't be moved")
+        listed.append({"name": name, "rows": count[f["shard"]], "bytes": f["length"], "sha256": f["sha256"]})
+    data, fs = _fs(spark, f"{stage}/data")
+    fs.delete(data, True)
+    manifest = {"files": listed, "retained_rows": sum(x["rows"] for x in listed), "rows_by_dataset": tally, **said}
+    write_text(spark, f"{stage}/processing.json", json.dumps(manifest, sort_keys=True))
+    rename(spark, stage, out)
+    return manifest
