@@ -177,5 +177,5 @@ def covered(replies: DataFrame, packets: DataFrame) -> DataFrame:
 def sharded(rows: DataFrame, size: str, most: int, order: list[str]) -> DataFrame:
     """shard: rows in order of `order`, a shard of about `most` units of `size`: a row's shard is that in which it begins."""
     before = f"_before_{uuid.uuid4().hex}"
-    r = running(rows, F.coalesce(size, F.lit(0)), order, before)
+    r = running(rows, order, **{before: F.coalesce(size, F.lit(0))})
     return r.withColumn("shard", F.floor(F.col(before) / most).cast("int")).select(*rows.columns, "shard")

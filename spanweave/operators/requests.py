@@ -12,7 +12,7 @@ from .steps import running
 
 def numbered(df: DataFrame, *order: str) -> DataFrame:
     """place: each row's number from 0 in this order; no task sorts all rows."""
-    return running(df, F.lit(1), list(order), "place")
+    return running(df, list(order), place=F.lit(1))
 
 
 def request_id(*parts: Column) -> Column:

@@ -26,20 +26,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
-def running(rows: DataFrame, size: Column, order: list[str], name: str) -> DataFrame:
-    """The rows with `name`: the sum of `size` over all rows before each one in this order, exact at any size.
+def running(rows: DataFrame, order: list[str], **sizes: Column) -> DataFrame:
+    """The rows with, under each name, the sum of its size over all rows before each one in this order, exact at any size.
 
     Rows are dealt by range of the order and written with the number of their range, so that the sums of ranges and those
     within them come from one dealing; a second one would draw other borders. No task sees more than its range. Rows
     equal in the whole order lie in one range and follow in any order there.
     """
     parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    part, own, base = (f"_{x}_{uuid.uuid4().hex}" for x in ("part", "own", "base"))
+    mark = uuid.uuid4().hex
+    part, own = f"_part_{mark}", {n: f"_own_{i}_{mark}" for i, n in enumerate(sizes)}
+    base = {n: f"_base_{i}_{mark}" for i, n in enumerate(sizes)}
     dealt = rows.repartitionByRange(parts, *order)
-    r = written(dealt.withColumns({part: F.spark_partition_id(), own: size.cast("long")}), "ranges")
-    sums = r.groupBy(part).agg(F.sum(own).alias(base))
-    before = F.sum(base).over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
-    bases = sums.select(part, F.coalesce(before, F.lit(0)).alias(base))
-    inside = F.sum(own).over(Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    r = written(dealt.withColumns({part: F.spark_partition_id()} | {own[n]: c.cast("long") for n, c in sizes.items()}), "ranges")
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    bases = r.groupBy(part).agg(*[F.sum(own[n]).alias(base[n]) for n in sizes]).select(part, *[F.coalesce(F.sum(base[n]).over(before), F.lit(0)).alias(base[n]) for n in sizes])
+    inside = Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     out = r.join(F.broadcast(bases), part)  # a row for each range, which the setting bounds
-    return out.withColumn(name, F.coalesce(inside, F.lit(0)) + F.col(base)).select(*rows.columns, name)
+    return out.withColumns({n: F.coalesce(F.sum(own[n]).over(inside), F.lit(0)) + F.col(base[n]) for n in sizes}).select(*rows.columns, *sizes)
