@@ -181,11 +181,13 @@ def _parts(low: np.ndarray, starts: np.ndarray, ends: np.ndarray):
 
 @lean
 def _segments(batches):
-    """Every text in consecutive segments of SEGMENT words between blanks; a shorter last one is filled by repeating it."""
+    """Every text in consecutive segments of SEGMENT words between blanks; a shorter last one is filled by repeating it.
+    A word of more than PIECE letters, as in a script without blanks, counts as several of that many, so that a segment's
+    size is bounded."""
     for b in batches:
         langs, segs = [], []
         for lang, text in zip(b["lang"].to_pylist(), b["text"].to_pylist(), strict=True):
-            words = WORD.findall((text or "").translate(_LOWER))
+            words = [w[at : at + PIECE] for w in WORD.findall((text or "").translate(_LOWER)) for at in range(0, len(w), PIECE)]
             for at in range(0, len(words), SEGMENT):
                 langs.append(lang)
                 segs.append(" ".join((words[at : at + SEGMENT] * SEGMENT)[:SEGMENT]))
@@ -194,6 +196,8 @@ def _segments(batches):
 
 #: Words of a segment, and of the stretches that mixed ones are made of.
 SEGMENT, STRETCH = 24, 3
+#: Letters of a word that a training segment holds as one.
+PIECE = 256
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 

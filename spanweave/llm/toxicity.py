@@ -100,7 +100,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, bound: int = 16_000, fol
 
     Held out is crc32(id as text) mod folds = 0. The machine is fitted on the driver on at most `bound`
     labelled rows, those whose hashed ids are least; scoring is one narrow pass with the fitted terms, whose
-    number the bound limits. A null label is no label; where an id has several labels, the largest counts.
+    number the bound limits. A null label is no label; where an id has several labels, the largest counts, and
+    where it has several texts, the least one is learned from.
     Null and empty texts get the score of no terms. Without labels all scores are one half; a score of one
     half counts as 1. A very long text has one set of terms like any other. Repeated rows each return a row.
     An empty table returns no rows. Other columns are ignored.
@@ -111,7 +112,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, bound: int = 16_000, fol
     y = checked(labels, doc_id=id_col, y=label_col).where("y is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("y").cast("int")).alias("y"))
     y = y.join(d.select("doc_id").distinct(), "doc_id", "left_semi").where(~held)
     some = y.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-    rows = d.join(F.broadcast(some), "doc_id").dropDuplicates(["doc_id"])  # an id that repeats is learned from once
+    rows = d.join(F.broadcast(some), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
     got = rows.select("y", "text").mapInArrow(_termer, "y int, terms array<long>").toArrow()
     rows = [np.asarray(r.values, np.int64) if r.values is not None else np.zeros(0, np.int64) for r in got["terms"]]
     order = sorted(range(len(rows)), key=lambda i: (rows[i].tobytes(), got["y"][i].as_py()))  # no matter how rows arrive

@@ -102,6 +102,18 @@ def test_pipeline_stage_by_stage(spark, corpus):
     assert whole == {(r.doc_id, r.piece, r.length, r.ids_crc32) for r in five}
 
 
+def test_columns_of_any_name_pass_through(spark, corpus, tmp_path):
+    names = ["gone_id", "_cut", "pii_count", "rest", "dup_words", "n_words", "kept", "score", "a.b"]
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    wide = docs.select("*", *[(docs["doc_id"] * 10 + i).alias(n) for i, n in enumerate(names)])
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        wide.write.mode("overwrite").parquet(f"{tmp_path}/{name}")
+        wide = stage(spark, spark.read.parquet(f"{tmp_path}/{name}"), corpus)
+        rows = wide.collect()
+        assert wide.columns == docs.columns + names and rows and all(r[len(docs.columns) + i] == r.doc_id * 10 + i for r in rows for i in range(len(names)))
+        wide = spark.createDataFrame(rows, wide.schema)
+
+
 def test_pipeline_of_nothing(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
