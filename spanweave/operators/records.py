@@ -177,27 +177,35 @@ def ledger_rows(units: DataFrame, records: DataFrame, errors: DataFrame) -> Data
 def export_campaign(units: DataFrame, records: DataFrame, errors: DataFrame, out: str, campaign: str, version: str | None = VERSION) -> dict:
     """Writes the four flat tables, the ledger as CSV and the manifest under `out`, and returns the manifest.
 
-    Every record is validated on the way. All tables go to a staging folder beside `out`, which takes its
-    name only when the last one is complete, so a failed run leaves nothing half written.
+    Every record is validated once, as it is written to a staging folder beside `out`; tables and ledger are made from what
+    lies there, and all counts from what was written. The folder takes its name only when the last table is complete, so
+    a failed run leaves nothing half written.
     """
     spark = records.sparkSession
     stage = f"{out.rstrip('/')}.{uuid.uuid4().hex}.part"
-    checked = refused(records, version)
+    read = lambda name, schema: spark.read.schema(schema).parquet(f"{stage}/{name}")
+    refused(records, version).write.option("compression", "zstd").parquet(f"{stage}/_checked")
+    checked = read("_checked", records.schema)
     tables = {"samples": sample_rows(checked), "verification": verification_rows(checked), "tracklets": tracklet_rows(checked), "links": link_rows(checked)}
     for name, table in tables.items():
         table.write.option("compression", "zstd").parquet(f"{stage}/{name}.parquet")
-    ledger = ledger_rows(units, records, errors)
+    ledger = ledger_rows(units, checked, errors)
+    ledger.write.option("compression", "zstd").parquet(f"{stage}/_ledger")
+    ledger = read("_ledger", ledger.schema)
     ledger.orderBy("dataset", "split", "video_id", "expression_id").write.option("header", True).csv(f"{stage}/run_ledger.csv")
-    read = lambda name: spark.read.parquet(f"{stage}/{name}.parquet")
     tally = lambda df, c: {r[c]: r["count"] for r in df.groupBy(c).count().orderBy(c).collect()}
+    status = tally(ledger, "status")
     manifest = {
         "campaign_id": campaign,
-        "worklist_units": units.count(),
-        **{name.rstrip("s") + "_rows": read(name).count() for name in tables},
-        "status_counts": tally(ledger, "status"),
-        "disposition_counts": tally(read("samples"), "disposition"),
+        "worklist_units": sum(status.values()),
+        **{name.rstrip("s") + "_rows": read(f"{name}.parquet", table.schema).count() for name, table in tables.items()},
+        "status_counts": status,
+        "disposition_counts": tally(read("samples.parquet", tables["samples"].schema), "disposition"),
         "tables": {name: f"{name}.parquet" for name in tables} | {"ledger": "run_ledger.csv"},
     }
+    for name in ("_checked", "_ledger"):
+        at, fs = _fs(spark, f"{stage}/{name}")
+        fs.delete(at, True)
     write_text(spark, f"{stage}/manifest.json", json.dumps(manifest, sort_keys=True))
     rename(spark, stage, out)
     return manifest
@@ -217,14 +225,18 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
 
 
 def write_text(spark: SparkSession, at: str, text: str) -> None:
-    """A small file under a name of its own, renamed when it is complete."""
+    """A small file under a name of its own, which takes the place of what is there in one step when it is complete."""
     part, fs = _fs(spark, f"{at}.{uuid.uuid4().hex}.part")
     dst, _ = _fs(spark, at)
     out = fs.create(part, True)
     out.write(bytearray(text.encode()))
     out.close()
-    fs.delete(dst, False)
-    fs.rename(part, dst)
+    sc = spark.sparkContext
+    kind = getattr(sc._jvm.org.apache.hadoop.fs, "Options$Rename")
+    over = sc._gateway.new_array(kind, 1)
+    over[0] = kind.OVERWRITE
+    whole = fs.makeQualified(part)
+    sc._jvm.org.apache.hadoop.fs.FileContext.getFileContext(whole.toUri(), fs.getConf()).rename(whole, fs.makeQualified(dst), over)
 
 
 def present(tracklets: Column) -> Column:

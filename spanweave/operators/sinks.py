@@ -66,6 +66,29 @@ def request_lines(requests: DataFrame, most_bytes: int, most: int) -> DataFrame:
     return j.select(F.concat_ws("-", "shard", "batch").alias("file"), (F.col("r") - F.col("from")).alias("place"), "request_id", "line")
 
 
+def write_request_files(lines: DataFrame, out: str) -> list[dict]:
+    """Each file of `request_lines` as one JSONL file under `out`, and requests.json, which says name, number of lines,
+    bytes and SHA-256 of each; returns that list. A file is one task; it is bounded by the limits it was packed under."""
+    spark = lines.sparkSession
+    stage = f"{out.rstrip('/')}.{uuid.uuid4().hex}.part"
+    packed = lines.repartition("file").sortWithinPartitions("file", "place").select("file", F.col("line").alias("value"))
+    packed.write.partitionBy("file").option("lineSep", "\n").text(f"{stage}/data")
+    made = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(f"{stage}/data")
+    count = {r["file"]: r["count"] for r in lines.groupBy("file").count().collect()}  # a row for each file
+    files = made.select(F.regexp_extract("path", r"file=([^/]+)/", 1).alias("file"), "path", F.sha2("content", 256).alias("sha256"), "length").orderBy("file").collect()
+    listed = []
+    for f in files:
+        (old, fs), (new, _) = _fs(spark, f["path"]), _fs(spark, f"{stage}/{f['file']}.jsonl")
+        if not fs.rename(old, new):
+            raise OSError(f"{f['path']} can't be moved")
+        listed.append({"name": f"{f['file']}.jsonl", "requests": count[f["file"]], "bytes": f["length"], "sha256": f["sha256"]})
+    data, fs = _fs(spark, f"{stage}/data")
+    fs.delete(data, True)
+    write_text(spark, f"{stage}/requests.json", json.dumps(listed, sort_keys=True))
+    rename(spark, stage, out)
+    return listed
+
+
 def named_assets(payloads: DataFrame, suffix: str) -> DataFrame:
     """(name, payload): payloads under the SHA-256 of their bytes, each once."""
     return payloads.select(F.concat(F.sha2("payload", 256), F.lit(suffix)).alias("name"), "payload").dropDuplicates(["name"])

@@ -1,11 +1,13 @@
 """Sinks and views on small tables."""
 
 import hashlib
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from spanweave.operators import sinks, viewer
+from spanweave.operators.records import write_text
 from spanweave.sources.archives import first_found
 from spanweave.sources.metadata import verification_rows
 
@@ -37,6 +39,22 @@ def test_request_files(spark):
     assert got == [("0-0", 1, 0), ("0-0", 2, 1), ("0-1", 1, 2), ("0-2", 1, 3), ("0-3", 1, 4), ("0-3", 2, 5), ("0-4", 1, 6), ("1-0", 1, 100)]
 
 
+def test_request_files_and_their_digests(spark, tmp_path):
+    rows = [(0, i, json.dumps({"custom_id": i, "said": "é" * (i % 3)}, ensure_ascii=False)) for i in range(7)]
+    lines = sinks.request_lines(spark.createDataFrame(rows, "shard int, request_id long, line string"), 10_000, 3)
+    listed = sinks.write_request_files(lines, str(tmp_path / "out"))
+    assert [(f["name"], f["requests"]) for f in listed] == [("0-0.jsonl", 3), ("0-1.jsonl", 3), ("0-2.jsonl", 1)] and json.loads((tmp_path / "out/requests.json").read_text()) == listed
+    read = [(tmp_path / "out" / f["name"]).read_bytes() for f in listed]
+    assert [hashlib.sha256(b).hexdigest() for b in read] == [f["sha256"] for f in listed] and [len(b) for b in read] == [f["bytes"] for f in listed]
+    assert [json.loads(x)["custom_id"] for b in read for x in b.decode().splitlines()] == list(range(7))
+
+
+def test_a_small_file_is_replaced_in_one_step(spark, tmp_path):
+    for text in ("one", "two ü"):
+        write_text(spark, str(tmp_path / "x.json"), text)
+    assert (tmp_path / "x.json").read_text() == "two ü" and sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["x.json"]
+
+
 def test_mask_index_joins_without_a_shuffle(spark):
     spark.sql("DROP TABLE IF EXISTS mask_sequences")
     d = spark.range(200).select(F.col("id").alias("annotation_id"), F.array(F.lit("m")).alias("masks"))
