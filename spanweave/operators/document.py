@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+from datetime import UTC, datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decisions
+from .records import _fs, rename, write_text
 from .steps import written
 
 # Names of versions and protocols, and what a document may say.
@@ -198,3 +203,52 @@ def applied(records: DataFrame, of: DataFrame, protocol: str | None = None) -> D
     none = there.sparkSession.createDataFrame([], "video_key string, status string")
     out = decisions.overlaid(mine, some.drop("verification_decision_json"), none).drop("video_key")
     return out.join(some.select("sample_id", "verification_decision_json"), "sample_id").select(*records.columns, "verification_status", "verification_decision_json")
+
+
+class Session:
+    """A reviewer's document kept under a path: header.json, which names the folder of its videos, a table. A save writes a
+    folder of its own and then replaces the header in one step, so it is there whole or not at all, and frames read
+    before stay good. The first save of a session leaves the header that was there under a name of its own.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, rows: DataFrame, fingerprint: str):
+        self.spark, self.path, self.rows, self.fingerprint = spark, path.rstrip("/"), rows, fingerprint
+        self.before, self.backup = self._header(), None
+
+    def _header(self) -> dict | None:
+        at, fs = _fs(self.spark, f"{self.path}/header.json")
+        if not fs.exists(at):
+            return None
+        return json.loads("\n".join(r[0] for r in self.spark.read.text(f"{self.path}/header.json").collect()))
+
+    def load(self) -> tuple[dict, DataFrame]:
+        """The header and the videos, completed for the rows; without a document, one that nobody has decided on."""
+        head = self._header() or {}
+        none = self.spark.createDataFrame([], f"video_key string, v {VIDEO}").select("video_key", "v.*")
+        kept = self.spark.read.schema(none.schema).parquet(f"{self.path}/{head['folder']}") if head else none
+        one = self.spark.createDataFrame([(json.dumps(head),)], "j string").select(F.from_json("j", DOCUMENT).alias("d")).select("d.*")
+        first = normalised(one, self.fingerprint).drop("videos").first()
+        return first.asDict(recursive=True), completed(self.rows, kept)
+
+    def save(self, of: DataFrame, **head) -> None:
+        """The videos, completed and checked, under the header."""
+        folder = f"videos-{uuid.uuid4().hex}.parquet"
+        done = completed(self.rows, of)
+        checked(self.rows, done, head.get("selection_protocol")).write.option("compression", "zstd").parquet(f"{self.path}/{folder}")
+        now = datetime.now(UTC)
+        if self.before and not self.backup:
+            self.backup = f"{self.path}/header.session-start.{now.strftime('%Y%m%dT%H%M%S.%fZ')}.bak"
+            write_text(self.spark, self.backup, json.dumps(self.before, sort_keys=True))
+        value = {k: v for k, v in head.items() if v is not None} | {"schema_version": VERSION, "source_fingerprint": self.fingerprint, "updated_at": now.isoformat(), "folder": folder}
+        write_text(self.spark, f"{self.path}/header.json", json.dumps(value, sort_keys=True))
+
+
+def write_verified(records: DataFrame, of: DataFrame, path: str, protocol: str | None = None) -> DataFrame:
+    """What the document exports, written under `path`, with all columns also where it exports nothing; no records at all end
+    it."""
+    if records.isEmpty():
+        raise ValueError("no records to verify")
+    stage = f"{path.rstrip('/')}.{uuid.uuid4().hex}.part"
+    applied(records, of, protocol).write.option("compression", "zstd").parquet(stage)
+    rename(records.sparkSession, stage, path)
+    return records.sparkSession.read.parquet(path)

@@ -125,3 +125,35 @@ def write_shards(rows: DataFrame, out: str, size: str, most: int, order: list[st
     write_text(spark, f"{stage}/processing.json", json.dumps(manifest, sort_keys=True))
     rename(spark, stage, out)
     return manifest
+
+
+def audited(selected: DataFrame, results: DataFrame, early: DataFrame) -> DataFrame:
+    """(sample_id, decision, reason_codes, stage, request_id) of every selected sample: a model's result, else what structure
+    decided, else pending. What a packet kept of it, and what the model said word for word, stay out.
+
+    results: those of `replies.waves`. early: sample_id, decision, reason_codes, stage.
+    """
+    r = results.select("sample_id", F.col("outcome").alias("_decision"), F.when(F.col("error").isNotNull(), F.array("error")).otherwise(F.array().cast("array<string>")).alias("_codes"), F.col("stage").alias("_stage"), "request_id")
+    j = selected.select("sample_id").join(r, "sample_id", "left").join(early.select("sample_id", "decision", "reason_codes", "stage"), "sample_id", "left")
+    return j.select("sample_id", F.coalesce("_decision", "decision", F.lit("pending")).alias("decision"), F.coalesce("_codes", "reason_codes", F.array().cast("array<string>")).alias("reason_codes"), F.coalesce("_stage", "stage").alias("stage"), "request_id")
+
+
+def write_refined(selected: DataFrame, records: DataFrame, results: DataFrame, early: DataFrame, out: str, cost: float = 0.0) -> dict:
+    """Records that stay, by split, in the columns of `records`, every split of the selected samples with a table of its own;
+    the audit; and summary.json, which is returned: it is complete without errors and open samples.
+
+    selected: sample_id, split. records: with sample_id and split; results: with their columns as they became.
+    """
+    spark = records.sparkSession
+    names = [r[0] for r in selected.select("split").distinct().orderBy("split").collect()]  # a few
+    keep = results.where(F.col("outcome").isin("keep", "rewrite"))
+    changed = [c for c in keep.columns if c in records.columns and c not in ("sample_id", "split")]
+    base = records.select("sample_id", *[c for c in records.columns if c not in ("sample_id", *changed)])
+    rows = base.join(keep.select("sample_id", *changed), "sample_id").join(selected.select("sample_id"), "sample_id", "left_semi").select(*records.columns)
+    write_splits(rows, f"{out.rstrip('/')}", names)
+    audit = audited(selected, results, early)
+    audit.write.option("compression", "zstd").parquet(f"{out.rstrip('/')}/_audit")
+    counts = {r["decision"]: r["count"] for r in spark.read.parquet(f"{out.rstrip('/')}/_audit").groupBy("decision").count().orderBy("decision").collect()}
+    summary = {"selected": sum(counts.values()), "counts": counts, "cost_upper_usd": round(cost, 6), "complete": not (counts.get("pending") or counts.get("error"))}
+    write_text(spark, f"{out.rstrip('/')}/summary.json", json.dumps(summary, sort_keys=True))
+    return summary

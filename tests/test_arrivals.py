@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from spanweave.sources import located
+from spanweave.sources import discovery, located
 from spanweave.streaming import arrivals
 
 ROW = "sample_id string, seq int, text string"
@@ -61,3 +61,27 @@ def test_rows_by_place(spark, tmp_path):
     spark.createDataFrame([(3, "w")], "k long, w string").write.mode("append").parquet(at)
     with pytest.raises(ValueError, match="k 3 lies in the source more than once"):
         located.snapshot(spark, at, chosen, "k", str(tmp_path / "n"))
+
+
+def test_inputs(spark, tmp_path):
+    put = lambda at, *ids: spark.createDataFrame([(i, "t") for i in ids], "sample_id string, text string").coalesce(1).write.mode("append").parquet(str(tmp_path / at))
+    put("plain/b.parquet", "b")
+    put("plain/a.parquet", "a")
+    put("release/train/verification.parquet", "a")
+    put("release/eval/verified/verification.parquet", "a")
+    put("release/x.parquet", "x")
+    find = lambda at: [p.removeprefix(f"{tmp_path}/") for p in discovery.inputs(spark, str(tmp_path / at))]
+    assert find("plain") == ["plain/a.parquet", "plain/b.parquet"] and find("plain/b.parquet") == ["plain/b.parquet"] and find("release") == ["release/train/verification.parquet"]
+    for bad in ("none", "plain/c.parquet"):
+        with pytest.raises(ValueError):
+            find(bad)
+    at = [str(tmp_path / p) for p in find("plain")]
+    rows = discovery.indexed(spark, at, ["sample_id"], ["text"])
+    assert rows.columns == ["sample_id", *located.PLACE] and [r.sample_id for r in located.in_source_order(rows).collect()] == ["a", "b"]
+    with pytest.raises(ValueError, match="sample_id a repeats"):
+        discovery.indexed(spark, [at[0], at[0]], ["sample_id"], ["text"])
+    with pytest.raises(ValueError, match="missing columns"):
+        discovery.indexed(spark, at, ["sample_id"], ["label"])
+    spark.range(1).write.parquet(str(tmp_path / "odd.parquet"))
+    with pytest.raises(ValueError, match="are not those of"):
+        discovery.indexed(spark, [at[0], str(tmp_path / "odd.parquet")], ["sample_id"], ["text"])

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from spanweave.operators import replies, submission
+from spanweave.operators import replies, sinks, submission
 from spanweave.operators.ledger import Conflict, Ledger
 from spanweave.plans.rounds import answered_records
 
@@ -43,7 +43,7 @@ def packet(spark, samples, stage="visual", name="p", mains=(1,)):
     return spark.createDataFrame([(name, stage, [(s, list(mains), MAPPING) for s in samples], [(s, "x") for s in samples])], f"request_id string, stage string, mapping array<{replies.MAPPING}>, expressions {expressions}")
 
 
-def test_a_retry_asks_for_the_invalid_alone_and_a_second_run_for_nothing(spark, rows):
+def test_a_retry_asks_for_the_invalid_alone_and_a_second_run_for_nothing(spark, rows, tmp_path):
     good = "[1]red fox[/1] and a [2]dog[/2]"
     model = Model(spark, {"p": body([result("s0", "[3]a fox[/3] runs"), result("s1", good)])}, {"*": body([result("s0", good)])})
     p = packet(spark, ["s0", "s1"])
@@ -54,6 +54,13 @@ def test_a_retry_asks_for_the_invalid_alone_and_a_second_run_for_nothing(spark,
     assert again.retry_of == "p" and [e.sample_id for e in again.expressions] == ["s0"] and again.validation_errors == {"s0": "unknown_id"}
     assert {i: (r.outcome, r.text, [t.tracklet_id for t in r.tracklets], r.disposition) for i, r in got.items()} == {i: ("rewrite", "red fox and a dog", ["t0", "t1"], "complete_bcc") for i in ("s0", "s1")}
     assert [g.group_id for g in got["s0"].groups] == ["refined-001", "refined-002"] and got["s0"].span_links[1].tracklet_ids == ["t1"]
+    selected = spark.createDataFrame([("s0", "train"), ("s1", "val"), ("s2", "train"), ("s3", "test")], "sample_id string, split string")
+    early = spark.createDataFrame([("s2", "reject", ["excessive_tracklets"], "heuristic")], "sample_id string, decision string, reason_codes array<string>, stage string")
+    out = str(tmp_path / "out")
+    summary = sinks.write_refined(selected, rows.join(selected, "sample_id"), results, early, out, 0.25)
+    assert summary == {"selected": 4, "counts": {"pending": 1, "reject": 1, "rewrite": 2}, "cost_upper_usd": 0.25, "complete": False} and json.loads((tmp_path / "out/summary.json").read_text()) == summary
+    assert {s: [r.text for r in spark.read.schema(rows.schema).parquet(f"{out}/split={s}").collect()] for s in ("train", "val", "test")} == {"train": ["red fox and a dog"], "val": ["red fox and a dog"], "test": []}
+    assert {r.sample_id: (r.decision, r.reason_codes, r.stage) for r in spark.read.parquet(f"{out}/_audit").collect()}["s2"] == ("reject", ["excessive_tracklets"], "heuristic")
     quiet = Model(spark)
     once_more, _, _ = replies.waves(p, rows, quiet, responses)
     assert quiet.asked == [[], []] and sorted(r.sample_id for r in once_more.collect()) == ["s0", "s1"]
