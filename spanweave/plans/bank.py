@@ -8,7 +8,7 @@ from ..functions import language, masks
 from ..functions.captions import parsed
 from ..functions.text import stable_key
 from ..operators import packets, refine, release, review, tracks, units
-from . import media, nested, records, reviews, rounds, sources, views, worklists  # noqa: F401  register their queries, too
+from . import media, nested, records, reviews, rounds, sources, upkeep, views, worklists  # noqa: F401  register their queries, too
 from .registry import ORACLE, QUERIES  # noqa: F401  what the driver asks for
 from .registry import query as _query
 
