@@ -43,14 +43,14 @@ def reply_costs(t):
     return t("lineitem").select("l_orderkey", "l_linenumber", F.round(cost, 10).alias("cost"))
 
 
-@query("""SELECT event_id, event_id % 5 = 0 OR event_id % 3 = 1 AS queued, CASE WHEN (event_id % 5 = 0 OR event_id % 3 = 1) AND event_id % 2 = 0 THEN 1000 + event_id END AS "limit" FROM events""")
+@query("""SELECT event_id, event_id % 5 = 0 OR event_id % 3 = 1 AS queued, CASE WHEN (event_id % 5 = 0 OR event_id % 3 = 1) AND event_id % 2 = 0 THEN 1000 + event_id END AS limit_tokens FROM events""")
 def queue_refusals(t):
     i = F.col("event_id")
     code = F.when(i % 5 == 0, "token_limit_exceeded").otherwise("other")
     thousand = F.format_number(1000 + i, 0)
     said = F.concat(F.when(i % 3 == 1, "Enqueued Token count is over.").when(i % 3 == 2, "queue limit").otherwise("no"), F.when(i % 2 == 0, F.concat(F.lit(" Limit: "), thousand, F.lit(" units"))).otherwise(" unlimited: 5"))
     r = refine.queue_limit(code, said)
-    return t("events").select("event_id", r["queued"].alias("queued"), r["limit"].alias("limit"))
+    return t("events").select("event_id", r["queued"].alias("queued"), r["limit"].alias("limit_tokens"))
 
 
 @query(r"""SELECT doc_id, sha256(regexp_replace(coalesce(text, '') || ' sk-' || doc_id || '_a-b; xhf_1 hf_Z9', '\b(?:sk-|hf_)[A-Za-z0-9_-]+', '[redacted]', 'g')) AS digest FROM documents""")
