@@ -83,9 +83,9 @@ def rebuilt(asked: DataFrame, rows: DataFrame, version: str | None = records.VER
     role = lambda e: F.when(F.array_contains("mapping.main_ids", e["id"]), "main_referent").otherwise("context_entity")
     entries = F.array_sort("mapping.entries")
     group = lambda e: F.struct(F.when(nlp, F.format_string("nlp-%03d", e["id"])).otherwise(F.format_string("refined-%03d", e["id"])).alias("group_id"), F.when(nlp, e["role"]).otherwise(role(e)).alias("role"), F.when(nlp, e["identity"]).otherwise(F.coalesce(old(track(e)), prompt(track(e)), F.lit(""))).alias("identity"), mine(e).alias("text_spans"), e["tracklet_ids"].alias("tracklet_ids"))
-    new = F.filter(F.transform(entries, group), lambda g: F.size(g["text_spans"]) > 0).cast(rows.schema["groups"].dataType)
-    d = bound(d, new_groups=F.when(live & ~silent, new).otherwise(F.array().cast(rows.schema["groups"].dataType)))
-    d = bound(d, new_links=spans.links(F.col("new_groups")).cast(rows.schema["span_links"].dataType))
+    new = F.filter(F.transform(entries, group), lambda g: F.size(g["text_spans"]) > 0).cast(rows.schema["groups"].dataType.simpleString())
+    d = bound(d, new_groups=F.when(live & ~silent, new).otherwise(F.array().cast(rows.schema["groups"].dataType.simpleString())))
+    d = bound(d, new_links=spans.links(F.col("new_groups")).cast(rows.schema["span_links"].dataType.simpleString()))
     named = F.flatten(F.transform("new_groups", lambda g: g["tracklet_ids"]))
     by_id = F.transform(named, lambda t: F.get(F.filter("tracklets", lambda x: x["tracklet_id"] == t), F.lit(0)))
     stored = F.filter("tracklets", lambda x: F.array_contains(named, x["tracklet_id"]))

@@ -130,8 +130,10 @@ def targets(units: DataFrame, label_masks_: DataFrame, sequences: DataFrame) ->
     """Official targets of units of both datasets, by the dataset that each unit names; another one ends the job."""
     from ..operators.campaign import sequence_targets
 
-    known = units.where(F.when(F.col("dataset").isin("ref_youtube_vos", "revos"), True).otherwise(F.raise_error(F.concat(F.lit("unsupported dataset: "), "dataset"))))
-    of = lambda name: known.where(F.col("dataset") == name)
+    other = units.where(~F.coalesce(F.col("dataset").isin("ref_youtube_vos", "revos"), F.lit(False))).select("dataset").first()
+    if other:
+        raise ValueError(f"unsupported dataset: {other[0]}")
+    of = lambda name: units.where(F.col("dataset") == name)
     order = of("revos").select("sample_id", F.posexplode("target_annotation_ids").alias("at", "annotation_id"))
     stored = sequence_targets(of("revos"), sequences).join(order, ["sample_id", "annotation_id"])
     stored = stored.select("sample_id", (F.col("at") + 1).alias("place"), F.col("annotation_id").cast("string").alias("source_annotation_id"), "masks")
