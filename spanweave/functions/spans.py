@@ -66,12 +66,14 @@ def ids_of(groups: Column, role: str | None = None) -> Column:
     return F.array_distinct(F.flatten(F.transform(some, lambda g: F.coalesce(g["tracklet_ids"], F.array().cast("array<string>")))))
 
 
-def segments(text: Column, marks: Column) -> Column:
-    """The text in stretches between the borders of marks (start, end, tracklet_ids), each with the ids that cover it."""
+def segments(text: Column, marks: Column, covers: Column | None = None) -> Column:
+    """The text in stretches between the borders of marks (start, end, tracklet_ids), each with the ids that cover it:
+    those of marks, or of `covers`, which may reach beyond the text."""
+    covers = marks if covers is None else covers
     ends = F.flatten(F.transform(marks, lambda m: F.array(m["start"], m["end"])))
     cuts = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0), F.length(text)), ends)))
     pairs = F.zip_with(F.slice(cuts, 1, F.greatest(F.size(cuts) - 1, F.lit(0))), F.slice(cuts, 2, F.greatest(F.size(cuts) - 1, F.lit(0))), lambda a, z: F.struct(a.alias("start"), z.alias("end")))
-    over = lambda p: F.filter(marks, lambda m: (m["start"] <= p["start"]) & (p["end"] <= m["end"]))
+    over = lambda p: F.filter(covers, lambda m: (m["start"] <= p["start"]) & (p["end"] <= m["end"]))
     ids = lambda p: F.array_sort(F.array_distinct(F.flatten(F.transform(over(p), lambda m: m["tracklet_ids"]))))
     return F.transform(pairs, lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), cut(text, p["start"], p["end"]).alias("text"), ids(p).alias("tracklet_ids")))
 

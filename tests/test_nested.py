@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from spanweave.functions import language, masks, spans
 from spanweave.functions.captions import parsed
 from spanweave.operators import campaign, decisions, records, refine, release, review, tracks
+from spanweave.plans import nested
 from spanweave.plans.nested import annotated
 
 SPANS = "array<struct<start:int,end:int,text:string>>"
@@ -29,6 +30,15 @@ def test_spans(spark):
     assert t[got.g.start : got.g.end] == "hat" and tuple(got.h) == (0, len(t))
 
 
+def test_a_span_beyond_a_short_text_covers_it(spark, tmp_path):
+    texts = ["", "a", "ab", "abc", "abcde", "abcdefgh"]
+    spark.createDataFrame([(i, t) for t, i in zip(texts, (1, 2, 3, 4, 7, 8), strict=True)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {}
+    for r in nested.caption_segments(spark, str(tmp_path)).orderBy("sample_id", "start").collect():
+        got.setdefault(r.sample_id, []).append((r.start, r.stop, r.ids))
+    assert got == {"s2": [(0, 1, "t0,t1")], "s3": [(0, 2, "t0,t1,t2")], "s4": [(0, 3, "t0,t1,t2,t3")], "s7": [(0, 3, "t0,t1"), (3, 5, "")], "s8": [(0, 3, "t0,t1,t2"), (3, 4, ""), (4, 7, "t1"), (7, 8, "")]}
+
+
 def test_run_lengths_and_volume(spark):
     def packed(counts):  # the inverse of what is tested
         out = ""
