@@ -9,7 +9,7 @@ import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from spanweave.llm import langid, media
+from spanweave.llm import langid, media, windows
 from spanweave.llm.common import mix
 from spanweave.llm.langid import ChainCRF
 from spanweave.llm.lattice import Lattice, lattice_scores, vocabulary
@@ -225,3 +225,18 @@ def test_full_spaces_of_surrogates_grow(spark):
     e = spark.range(1000).select(F.lit("ssn").alias("kind"), F.format_string("%03d", F.col("id")).alias("canon"))
     made = [r.made for r in entity_surrogates(e, "k").collect()]
     assert len(set(made)) == 1000 and not set(made) & {f"{i:03d}" for i in range(1000)} and all(len(m) > 3 for m in made)
+
+
+def test_sets_of_parts_too_unlike_are_not_made(monkeypatch):
+    made = []
+    monkeypatch.setattr(windows, "_alike", lambda *a, f=windows._alike: made.append(a) or f(*a))
+    rng = np.random.default_rng(7)
+    other = rng.integers(0, 2**60, 3000).astype(np.uint64)
+    part = other.copy()
+    part[np.arange(3000) % 8 > 3] = rng.integers(0, 2**60, 1500).astype(np.uint64)  # half of each stretch is there
+    assert windows.passages(part, 0, 2999, other, 5, 50, 80) == [] and not made
+    part[1000:1100] = other[1000:1100]
+    [(first, last)] = windows.passages(part, 0, 2999, other, 5, 50, 80)
+    assert first <= 1000 and last >= 1099 and last - first < 140 and not made
+    again = np.concatenate([other[:60], other[:60], other[60:200]])  # repeats count once in a set, on either side
+    assert windows.passages(again, 0, 259, other[:200], 5, 50, 80) == [(0, 259)] and not made
