@@ -13,6 +13,8 @@ from ..operators import building, records
 from .registry import query
 
 SIZE, PROMPTS, OBJECTS, FRAMES = 200, 5, 3, 3
+#: Documents to whose videos one task makes detections: a video has a hundred of them, and a task sorts all its own.
+DEALT = 16_384
 
 
 def _mask(first: Column) -> Column:
@@ -26,9 +28,12 @@ def _videos(docs: DataFrame) -> DataFrame:
 
 
 def detections(docs: DataFrame) -> DataFrame:
-    """Up to two detections a frame of each prompt's objects; some lie outside the video, some frames have none."""
+    """Up to two detections a frame of each prompt's objects; some lie outside the video, some frames have none.
+
+    Videos are few bytes, which Spark would gather in few tasks; they are dealt out by their number before they grow.
+    """
     p, o, f, s, v = (F.col(c) for c in "pofsv")
-    d = _videos(docs).select("v", "video_key")
+    d = _videos(docs).select("v", "video_key").repartition(1 + docs.count() // DEALT, "video_key")
     for name, n, first in (("p", PROMPTS, 0), ("o", OBJECTS, 0), ("f", FRAMES, -1), ("s", 1, 0)):
         d = d.withColumn(name, F.explode(F.sequence(F.lit(first), F.lit(n - 1 if name != "s" else 1))))
     d = d.where(((v + p + o + f) % 4 != 3) & ((s == 0) | ((v + f) % 3 == 0)) & ((p < 4) | (v % 2 == 0)))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanweave.operators import building, records
+from spanweave.plans import records as plans
 
 MASK = "struct<size:array<int>,counts:array<bigint>>"
 DETECTION = f"video_key string, prompt string, object_id int, frame_index int, seq int, mask {MASK}, score double"
@@ -99,3 +100,9 @@ def test_assembly(spark):
     r = building.assembled(spark.createDataFrame(det, DETECTION), videos).collect()
     assert [(x.video_key, x.prompt_key, x.present_frames, x.pixels, x.max_score, x.reason) for x in r] == [("v", "p", 1, 64, 1.0, "retained")]
     assert r[0].mean_score == pytest.approx(2 / 3, abs=1e-15) and [m and m.counts for m in r[0].masks] == [[399, 1, 0], None, None, None]
+
+
+def test_detections_are_made_by_several_tasks(spark):
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"))
+    made = plans.detections(docs).groupBy(F.spark_partition_id().alias("p")).agg(F.countDistinct("video_key").alias("n")).collect()
+    assert len(made) == 3 and sum(r.n for r in made) == 10_000 and max(r.n for r in made) < 5_000
