@@ -72,8 +72,7 @@ def on_runs(size: Column, counts: Column) -> Column:
         run = F.array(F.struct(a["at"].alias("start"), stop.alias("stop")))
         return F.struct(F.when(a["on"] & (stop > a["at"]), F.concat(a["out"], run)).otherwise(a["out"]).alias("out"), stop.alias("at"), (~a["on"]).alias("on"))
 
-    all_of = F.aggregate(counts, start, step)
-    return F.when(F.forall(counts, lambda n: n >= 0) & (all_of["at"] == whole), all_of["out"])
+    return F.when(F.forall(counts, lambda n: n >= 0), F.aggregate(counts, start, step, lambda a: F.when(a["at"] == whole, a["out"])))
 
 
 def pixels(runs: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import masks
+from ..functions.binding import bound
 from ..operators import manifests, refine
 from ..sources import media, palette
 from .nested import FLAT, annotated
@@ -54,14 +55,13 @@ def png(pixels: np.ndarray, depth: int) -> bytes:
     """An indexed PNG of these labels, its scanlines filtered by all five kinds in turn."""
     bits = np.unpackbits(pixels[:, :, None], axis=2)[:, :, 8 - depth :].reshape(len(pixels), -1)
     lines = np.packbits(bits, axis=1).astype(int)
-    body, up = b"", np.zeros(lines.shape[1], int)
-    for y, line in enumerate(lines):
-        left, corner = np.concatenate([[0], line[:-1]]), np.concatenate([[0], up[:-1]])
-        far = np.stack([abs(up - corner), abs(left - corner), abs(left + up - 2 * corner)])
-        paeth = np.choose(far.argmin(axis=0), [left, up, corner])
-        guess = [np.zeros_like(line), left, up, (left + up) // 2, paeth][y % 5]
-        body += bytes([y % 5]) + ((line - guess) % 256).astype(np.uint8).tobytes()
-        up = line
+    up, left, corner = np.zeros((3, *lines.shape), int)
+    up[1:], left[:, 1:], corner[1:, 1:] = lines[:-1], lines[:, :-1], lines[:-1, :-1]
+    near, across, both = abs(up - corner), abs(left - corner), abs(left + up - 2 * corner)
+    paeth = np.where((near <= across) & (near <= both), left, np.where(across <= both, up, corner))
+    kind = np.arange(len(lines))[:, None] % 5
+    guess = np.choose(kind, [np.zeros_like(lines), left, up, (left + up) // 2, paeth])
+    body = np.hstack([kind, (lines - guess) % 256]).astype(np.uint8).tobytes()
     chunk = lambda kind, data: len(data).to_bytes(4, "big") + kind + data + zlib.crc32(kind + data).to_bytes(4, "big")
     packed, half = zlib.compress(body), 9
     head = pixels.shape[1].to_bytes(4, "big") + pixels.shape[0].to_bytes(4, "big") + bytes([depth, palette.INDEXED, 0, 0, 0])
@@ -95,7 +95,8 @@ def palette_masks(t):
     found = palette.label_masks(label_images(d).select(name.alias("video_id"), F.col("f").cast("string").alias("frame_id"), "payload"))
     units = d.select(F.concat(F.lit("s"), name).alias("sample_id"), name.alias("video_id"), F.array(F.lit("0"), F.lit("1"), F.lit("2")).alias("frame_ids"), F.array(F.lit(3), F.lit(1), F.lit(8)).alias("target_object_ids"), F.lit("official_dataset_ground_truth").alias("target_source_expected"))
     each = palette.palette_targets(units, found).select("sample_id", "place", "source_annotation_id", F.posexplode("masks").alias("frame", "m"))
-    on = F.when(F.col("m").isNotNull(), masks.on_runs(F.col("m")["size"], F.col("m")["counts"]))
+    each = bound(each, on=F.when(F.col("m").isNotNull(), masks.on_runs(F.col("m")["size"], F.col("m")["counts"])))
+    on = F.col("on")
     total = lambda c: F.when(on.isNotNull(), F.aggregate(on, F.lit(0).cast("long"), lambda a, r: a + r[c]))
     return each.select("sample_id", "place", "source_annotation_id", "frame", masks.pixels(on).alias("pixels"), F.when(on.isNotNull(), F.size(on)).alias("runs"), total("start").alias("starts"), total("stop").alias("stops"))
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanweave.operators import building, manifests, refine, replies
+from spanweave.plans import media as plans
 from spanweave.plans.media import of_one_length, png
 from spanweave.sources import media, palette
 
@@ -107,3 +108,10 @@ def test_frame_lists_that_differ_are_refused(spark, records):
     mixed = records.withColumn("video_id", F.lit("one"))
     with pytest.raises(Exception, match="frame lists differ in corpus::train::one"):
         manifests.visual_manifests(mixed, "prompt").collect()
+
+
+def test_runs_of_a_mask_are_read_once(spark, tmp_path):
+    spark.range(9).select(F.col("id").alias("doc_id")).write.parquet(f"{tmp_path}/documents.parquet")
+    got = plans.palette_masks(spark, str(tmp_path))
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("forall(") == 1
+    assert got.count() == 81 and got.where("pixels is not null").count() > 9
