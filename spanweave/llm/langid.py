@@ -111,11 +111,17 @@ class ChainCRF:
 
     def fit(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, sequences: np.ndarray, y: np.ndarray, epochs: int = 4, rate: float = 0.3) -> ChainCRF:
         """Adagrad on the negative log-likelihood of sequences (rows of word numbers) with labels y, all of one length."""
-        h = span_hash(raw, starts, ends)
-        _, uniq, back = np.unique(h, return_index=True, return_inverse=True)
-        parts = [word_features(raw, starts[u], ends[u], self.lexicon) for u in np.array_split(uniq, len(uniq) // 10_000 + 1)]
-        f = np.concatenate([p.astype(np.int32) for p, _ in parts])
-        size = np.concatenate([np.diff(np.append(a, len(p))) for p, a in parts])
+        _, uniq, back = np.unique(word_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+        fs, sizes = [], []
+        for u in np.array_split(uniq, len(uniq) // 2_000 + 1):  # few at once, for the driver's memory
+            n = ends[u] - starts[u]
+            z = np.cumsum(n)
+            own = raw[np.repeat(starts[u] - z + n, n) + np.arange(int(n.sum()))]  # these words' bytes alone
+            p, a = word_features(own, z - n, z, self.lexicon)
+            fs.append(p.astype(np.int32))
+            sizes.append(np.diff(np.append(a, len(p))))
+        f, size = np.concatenate(fs), np.concatenate(sizes)
+        del fs, sizes
         at = np.cumsum(size) - size
         rng, n = np.random.default_rng(9), len(self.labels)
         gw, gt = np.full(self.w.shape, 1e-4, np.float32), np.full(self.trans.shape, 1e-4)
@@ -156,7 +162,7 @@ def label_words(model: ChainCRF, texts: pa.Array):
         if not len(starts):
             yield lo, hi, low, starts, ends, counts, np.zeros((0, len(model.labels)))
             continue
-        h = np.concatenate([span_hash(low[a:z], starts[i:j] - a, ends[i:j] - a) for a, z, i, j in _parts(low, starts, ends)])
+        h = word_hashes(low, starts, ends)
         _, uniq, back = np.unique(h, return_index=True, return_inverse=True)
         e = model.emissions(low, starts[uniq], ends[uniq])
         order = np.argsort(-counts, kind="stable")
@@ -170,6 +176,11 @@ def label_words(model: ChainCRF, texts: pa.Array):
         yield lo, hi, low, starts, ends, counts, m
 
 
+def word_hashes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """span_hash of each word, by cuts of about a MB."""
+    return np.concatenate([np.zeros(0, np.uint64), *(span_hash(low[a:z], starts[i:j] - a, ends[i:j] - a) for a, z, i, j in _parts(low, starts, ends))])
+
+
 def _parts(low: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     """Cuts between words about every MB, so that hashing keeps to the cache."""
     i = 0
@@ -224,7 +235,7 @@ def trained(train: DataFrame, bound: int = 4_000, segments: int = 24_000, lexico
     i, j = rng.integers(0, len(seqs), (2, len(seqs) // 2))
     other = np.repeat(rng.random((len(i), SEGMENT // STRETCH)) < 0.5, STRETCH, axis=1)
     seqs, y = (np.concatenate([x, np.where(other, x[j], x[i])]) for x in (seqs, y))
-    h, n = np.unique(span_hash(low, starts, ends), return_counts=True)
+    h, n = np.unique(word_hashes(low, starts, ends), return_counts=True)
     lexicon = np.sort(h[np.argsort(-n, kind="stable")[:lexicon_size]])
     return ChainCRF(labels, lexicon).fit(low, starts, ends, seqs, y)
 

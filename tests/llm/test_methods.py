@@ -240,3 +240,14 @@ def test_sets_of_parts_too_unlike_are_not_made(monkeypatch):
     assert first <= 1000 and last >= 1099 and last - first < 140 and not made
     again = np.concatenate([other[:60], other[:60], other[60:200]])  # repeats count once in a set, on either side
     assert windows.passages(again, 0, 259, other[:200], 5, 50, 80) == [(0, 259)] and not made
+
+
+def test_training_words_are_hashed_by_parts(monkeypatch):
+    """Hashes are the same by parts, and what one takes of the driver's memory is that of a MB."""
+    raw = np.frombuffer(b"one word of many " * 200_000, np.uint8)
+    low, starts, ends, _ = langid.word_spans(raw, np.array([0, len(raw)]))
+    want, sizes = langid.span_hash(low, starts, ends), []
+    whole = langid.span_hash
+    monkeypatch.setattr(langid, "span_hash", lambda low, *spans: (sizes.append(len(low)), whole(low, *spans))[1])
+    ChainCRF(["a", "b"], np.zeros(0, np.uint64)).fit(low, starts, ends, np.arange(48).reshape(2, 24), np.zeros((2, 24), np.int64), epochs=1)
+    assert np.array_equal(langid.word_hashes(low, starts, ends), want) and max(sizes) <= (1 << 20) + 8
