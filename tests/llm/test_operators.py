@@ -368,6 +368,25 @@ def test_repeats_against_brute_force(spark):
     assert len(want & found) >= 0.9 * len(want) >= 6 and all(top[i] >= 0.75 for i in found - want)
 
 
+def test_equal_texts_are_not_searched(spark, monkeypatch):
+    """Copies of a text go whole, from the least id that has it, and no windows are made of them."""
+    a, edited, short = prose(90, 820), prose(90, 820).split(), prose(49, 821)
+    edited[30] = edited[60] = "edited"
+    texts = [a, " ".join(edited), short, short, a, " ".join(edited), a, None, None]
+
+    def kept(df, name, release=False):
+        out = common.kept(df, name, release)
+        ids.update(r.doc_id for r in out.select("doc_id").distinct().collect()) if name == "windows" else None
+        return out
+
+    ids: set[int] = set()
+    monkeypatch.setattr(windows, "kept", kept)
+    got = by_id(without_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    assert ids == {0, 1}
+    assert {i: (r.text, r.dup_words, r.spans[0]["source"]) for i, r in got.items() if i in (4, 5, 6)} == {4: ("", 90, 0), 5: ("", 90, 1), 6: ("", 90, 0)}
+    assert all(got[i].dup_words == 0 and got[i].text == texts[i] for i in (0, 2, 3, 7, 8))
+
+
 def test_repeats_of_rows_that_share_an_id(spark):
     a, b = prose(80, 810), prose(80, 811)
     rows = [(1, a), (1, a), (2, a), (2, a), (3, b), (3, "short"), (None, a)]
